@@ -1,0 +1,354 @@
+"""Exact repeated windows over a corpus, found through anchored slices.
+
+A window is W consecutive symbols of one document. An *anchor rule* picks for every window one position
+inside it that depends on the window's content alone, so equal windows pick the same relative position.
+Consecutive windows with the same anchor form a slice. Then
+
+1.  per chunk of documents, slices are named by 64-bit hashes and ``(anchor key, slice name)`` pairs are
+    merged; one blob per (chunk, bucket of keys) is shuffled;
+2.  per bucket, pairs with the same name in several places are settled as a whole; where one anchor key has
+    several slice names, one representative of each is asked for its windows;
+3.  windows of representatives are named, merged per chunk, shuffled by name and settled the same way;
+4.  every chunk combines the answers into covered symbols.
+
+Nothing is capped: a key with very many slice names in one chunk skips step 2 and sends all its windows.
+A common passage or key costs one entry per chunk, whatever the number of documents that hold it.
+``first``: a window is marked if it also starts in a document with a smaller id.
+``any``: a window is marked if it also starts anywhere else.
+Names are 64-bit hashes; equal names of 64 bits (96 with the key for slices) are taken as equal content.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from anchorline.llm._common import input_bytes
+
+U = np.uint64
+BASE = 0x9E3779B97F4A7C15 | 1
+PIECE = 1 << 19
+#: Slice names of one key in one chunk beyond which the key goes by windows alone.
+WIDE = 64
+NULL_ID = np.iinfo(np.int64).max
+_pow: np.ndarray | None = None
+_inv: np.ndarray | None = None
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> U(30))
+    h = h * U(0xBF58476D1CE4E5B9)
+    h ^= h >> U(27)
+    h *= U(0x94D049BB133111EB)
+    h ^= h >> U(31)
+    return h
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    global _pow, _inv
+    if _pow is None or len(_pow) < n:
+        n = max(n, PIECE + 4096)
+        with np.errstate(over="ignore"):
+            _pow = np.multiply.accumulate(np.concatenate([[U(1)], np.full(n - 1, U(BASE))]))
+            _inv = np.multiply.accumulate(np.concatenate([[U(1)], np.full(n - 1, U(pow(BASE, -1, 1 << 64)))]))
+    return _pow[:n], _inv[:n]
+
+
+def prefix(x: np.ndarray) -> np.ndarray:
+    """Sums whose differences name any stretch of symbols."""
+    p, _ = powers(len(x) + 1)
+    out = np.zeros(len(x) + 1, U)
+    np.cumsum(x * p[: len(x)], out=out[1:])
+    return out
+
+
+def name(sums: np.ndarray, start: np.ndarray, length) -> np.ndarray:
+    _, inv = powers(len(sums))
+    return mix((sums[start + length] - sums[start]) * inv[start])
+
+
+#: (symbols of a piece, starts of documents in it) -> key and position of the anchor for each window start.
+Anchors = Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray]]
+
+
+class Chunk:
+    """The concatenated symbols of some documents."""
+
+    def __init__(self, symbols: np.ndarray, lengths: np.ndarray, values: np.ndarray, width: int, anchors: Anchors, lift):
+        self.symbols, self.width, self.anchors, self.lift = symbols, width, anchors, lift
+        self.ends = np.cumsum(lengths)
+        self.starts = self.ends - lengths
+        self.values = values
+        self.slices()
+
+    def pieces(self) -> Iterator[tuple[int, int]]:
+        for a in range(0, max(0, len(self.symbols) - self.width + 1), PIECE):
+            yield a, min(a + PIECE, len(self.symbols) - self.width + 1)
+
+    def slices(self) -> None:
+        """Start, number of windows, key, name and document of each slice."""
+        found = [[np.zeros(0, np.int64)] * 2 + [np.zeros(0, U)] * 2 + [np.zeros(0, np.int64)]]
+        for a, b in self.pieces():
+            x = self.lift(self.symbols[a : b + self.width - 1])
+            q = np.arange(a, b)
+            doc = np.searchsorted(self.ends, q, side="right")
+            valid = self.ends[doc] - q >= self.width
+            if not valid.any():
+                continue
+            lo, hi = np.searchsorted(self.starts, [a, b + self.width - 1])
+            cuts = np.unique(self.starts[lo:hi] - a)
+            key, at = self.anchors(x, cuts, self.width)
+            new = np.ones(b - a, bool)
+            new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1]) | ~valid[:-1]
+            first = np.flatnonzero(new & valid)
+            # a slice ends where the next begins or validity ends
+            stop = np.flatnonzero(np.concatenate([new[1:] | ~valid[1:], [True]]) & valid) + 1
+            m = stop - first
+            sums = prefix(x)
+            s = name(sums, first, m + self.width - 1)
+            s = mix(s ^ mix(m.astype(U) * U(1 << 32) + (at[first] - first).astype(U)))
+            found.append([first + a, m, key[first], s, doc[first]])
+        self.q, self.m, self.key, self.name, self.doc = (np.concatenate(c) for c in zip(*found, strict=True))
+
+    def entries(self, any_: bool):
+        """Distinct (key, name) with the least id or the number of occurrences; sets ``entry`` of each slice."""
+        order = np.lexsort((self.name, self.key))
+        k, s = self.key[order], self.name[order]
+        new = np.ones(len(k), bool)
+        new[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
+        at = np.flatnonzero(new)
+        self.entry = np.empty(len(k), np.int64)
+        self.entry[order] = np.cumsum(new) - 1
+        if any_:
+            v = np.diff(np.append(at, len(k)))
+        else:
+            v = np.minimum.reduceat(self.values[self.doc[order]], at) if len(at) else np.zeros(0, np.int64)
+        k, s = k[at], s[at]
+        newk = np.ones(len(k), bool)
+        newk[1:] = k[1:] != k[:-1]
+        per = np.diff(np.append(np.flatnonzero(newk), len(k)))
+        wide = np.repeat(per > WIDE, per)
+        return k, s, v, wide, newk
+
+    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, name and slice of the windows of the chosen slices."""
+        q = np.repeat(self.q[chosen] - np.cumsum(self.m[chosen]) + self.m[chosen], self.m[chosen]) + np.arange(self.m[chosen].sum())
+        names = np.zeros(len(q), U)
+        for a, b in self.pieces():
+            i = np.flatnonzero((q >= a) & (q < b))
+            if len(i):
+                names[i] = name(prefix(self.lift(self.symbols[a : b + self.width - 1])), q[i] - a, self.width)
+        return q, names, np.repeat(chosen, self.m[chosen])
+
+
+def planes(v: np.ndarray) -> bytes:
+    """Bytes of the same rank together, which shuffle compression shortens."""
+    return np.ascontiguousarray(v.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unplanes(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def _buckets(bucket: np.ndarray, n: int):
+    order = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[order], np.arange(n + 1))
+    return [(i, order[edges[i] : edges[i + 1]]) for i in range(n) if edges[i] < edges[i + 1]]
+
+
+def _asked(k, s, v, wide, newk, n):
+    """What a chunk sends to each bucket of keys, and which of its entries that are, in order."""
+    marker = wide & newk
+    send = np.flatnonzero(~wide | marker)
+    for b, i in _buckets((k[send] % U(n)).astype(np.int64), n):
+        yield b, send[i], marker[send[i]]
+
+
+def _first_pass(chunk_of, any_: bool, n: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = chunk_of(pdf)
+        k, s, v, wide, newk = c.entries(any_)
+        at = int(pdf["_chunk"].iloc[0])
+        rows = [(b, at, (k[i] // U(n)).astype("<u4").tobytes(), np.where(mark, U(0), s[i]).astype("<u8").tobytes(), planes(v[i])) for b, i, mark in _asked(k, s, v, wide, newk, n)]
+        return pd.DataFrame(rows, columns=["_bucket", "_chunk", "k", "s", "v"])
+
+    return run
+
+
+def _gather(pdf: pd.DataFrame, cols: dict[str, str]):
+    pdf = pdf.sort_values("_chunk")
+    size = np.array([len(x) // np.dtype(next(iter(cols.values()))).itemsize for x in pdf[next(iter(cols))]])
+    out = [np.concatenate([np.frombuffer(x, t) for x in pdf[c]]) for c, t in cols.items()]
+    v = np.concatenate([unplanes(x) for x in pdf["v"]])
+    return pdf["_chunk"].to_numpy(), size, out, v
+
+
+def _reply(chunks, size, codes, bucket, kind):
+    edges = np.concatenate([[0], np.cumsum(size)])
+    rows = [(int(c), kind, bucket, codes[a:b].tobytes()) for c, a, b in zip(chunks, edges[:-1], edges[1:], strict=True) if codes[a:b].any()]
+    return pd.DataFrame(rows, columns=["_chunk", "kind", "_bucket", "codes"])
+
+
+def settle_slices(any_: bool):
+    """Codes of entries: 1 all windows marked, 2 representative whose windows must be compared, +4 counted twice."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        chunks, size, (k, s), v = _gather(pdf, {"k": "<u4", "s": "<u8"})
+        order = np.lexsort((v, s, k)) if not any_ else np.lexsort((s, k))
+        k, s, v = k[order], s[order], v[order]
+        newk, news = np.ones(len(k), bool), np.ones(len(k), bool)
+        newk[1:] = k[1:] != k[:-1]
+        news[1:] = newk[1:] | (s[1:] != s[:-1])
+        gk, gs = np.cumsum(newk) - 1, np.cumsum(news) - 1
+        ks, ss = np.flatnonzero(newk), np.flatnonzero(news)
+        marked_key = s[ks] == 0
+        several = (np.add.reduceat(news.astype(np.int64), ks) > 1) | marked_key
+        codes = np.zeros(len(k), np.uint8)
+        if any_:
+            total = np.add.reduceat(v, ss)
+            codes[total[gs] > 1] |= 1
+            codes[news & several[gk]] |= 2
+            codes[news & several[gk] & (total[gs] > 1)] |= 4
+        else:
+            least, most = np.minimum.reduceat(v, ks), np.maximum.reduceat(v, ks)
+            first = v == v[ss][gs]
+            codes[~first] |= 1
+            codes[first & several[gk] & ((least < most) | marked_key)[gk]] |= 2
+        codes[s == 0] = 0
+        out = np.empty_like(codes)
+        out[order] = codes
+        return _reply(chunks, size, out, int(pdf["_bucket"].iloc[0]), 0)
+
+    return run
+
+
+def settle_windows(any_: bool):
+    """Marks names that another document or place shares: in name order, the entry before (sorted by id) is the earlier match."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        chunks, size, (s,), v = _gather(pdf, {"s": "<u8"})
+        order = np.lexsort((v, s))
+        s, v = s[order], v[order]
+        new = np.ones(len(s), bool)
+        new[1:] = s[1:] != s[:-1]
+        at = np.flatnonzero(new)
+        g = np.cumsum(new) - 1
+        hit = np.add.reduceat(v, at)[g] > 1 if any_ else v > v[at][g]
+        out = np.empty(len(s), np.uint8)
+        out[order] = hit
+        return _reply(chunks, size, out, int(pdf["_bucket"].iloc[0]), 1)
+
+    return run
+
+
+def _answers(c: Chunk, replies: pd.DataFrame, any_: bool, n: int):
+    """Code of each entry, and the windows that are sent: (start, name, slice, distinct names, index, values)."""
+    k, s, v, wide, newk = c.entries(any_)
+    codes = np.zeros(len(k), np.uint8)
+    codes[wide] = 2
+    got = {b: x for kind, b, x in zip(replies["kind"], replies["_bucket"], replies["codes"], strict=True) if kind == 0} if len(replies) else {}
+    for b, i, mark in _asked(k, s, v, wide, newk, n):
+        if b in got:
+            x = np.frombuffer(got[b], np.uint8)
+            codes[i[~mark]] = x[~mark]
+    if any_:
+        codes[v > 1] |= 1
+    # the windows of one slice of each entry stand for all
+    ask = np.flatnonzero(codes & 2)
+    rep = np.full(len(k), -1, np.int64)
+    if any_:
+        rep[c.entry[::-1]] = np.arange(len(c.entry))[::-1]
+        weight = np.where(codes & 4, 2, np.minimum(v, 2))
+    else:
+        own = np.flatnonzero(c.values[c.doc] == v[c.entry])
+        rep[c.entry[own]] = own
+        weight = v
+    chosen = rep[ask]
+    q, names, of = c.windows(chosen) if len(chosen) else (np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.int64))
+    names = names | U(1)  # zero stays free
+    w = weight[c.entry[of]]
+    uniq, index = np.unique(names, return_inverse=True)
+    if any_:
+        val = np.bincount(index, weights=w, minlength=len(uniq)).astype(np.int64)
+    else:
+        val = np.full(len(uniq), NULL_ID, np.int64)
+        np.minimum.at(val, index, w)
+    return codes, v, q, of, uniq, index, val, w
+
+
+def _window_buckets(uniq: np.ndarray, n: int):
+    return _buckets(((uniq >> U(1)) % U(n)).astype(np.int64), n)
+
+
+def _second_pass(chunk_of, any_: bool, n: int):
+    def run(docs: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        cols = ["_bucket", "_chunk", "s", "v"]
+        if not len(docs):
+            return pd.DataFrame([], columns=cols)
+        c = chunk_of(docs)
+        *_, uniq, _index, val, _w = _answers(c, replies, any_, n)
+        at = int(docs["_chunk"].iloc[0])
+        return pd.DataFrame([(b, at, uniq[i].astype("<u8").tobytes(), planes(val[i])) for b, i in _window_buckets(uniq, n)], columns=cols)
+
+    return run
+
+
+def covered(c: Chunk, replies: pd.DataFrame, any_: bool, n: int) -> np.ndarray:
+    """Which symbols of the chunk a marked window covers."""
+    codes, v, q, of, uniq, index, val, w = _answers(c, replies, any_, n)
+    whole = (codes & 1).astype(bool)[c.entry]
+    if not any_:
+        whole |= c.values[c.doc] > v[c.entry]
+    hit = np.zeros(len(uniq), bool)
+    got = {b: x for kind, b, x in zip(replies["kind"], replies["_bucket"], replies["codes"], strict=True) if kind == 1} if len(replies) else {}
+    for b, i in _window_buckets(uniq, n):
+        if b in got:
+            hit[i] = np.frombuffer(got[b], np.uint8).astype(bool)
+    one = hit[index] | ((val[index] > 1) if any_ else (w > val[index]))
+    # the answers for a representative hold for all slices of its entry that are not marked whole
+    starts, ends = [c.q[whole]], [c.q[whole] + c.m[whole] + c.width - 1]
+    if one.any():
+        rest = np.flatnonzero(~whole)
+        first = np.full(int(c.entry.max()) + 1, -1, np.int64)
+        first[c.entry[of]] = of
+        rest = rest[first[c.entry[rest]] >= 0]
+        shift = c.q[rest] - c.q[first[c.entry[rest]]]
+        # marked windows by representative slice
+        hq, hof = q[one], of[one]
+        order = np.argsort(hof, kind="stable")
+        hq, hof = hq[order], hof[order]
+        lo = np.searchsorted(hof, first[c.entry[rest]], "left")
+        cnt = np.searchsorted(hof, first[c.entry[rest]], "right") - lo
+        at = np.repeat(lo - np.cumsum(cnt) + cnt, cnt) + np.arange(cnt.sum())
+        p = hq[at] + np.repeat(shift, cnt)
+        starts.append(p)
+        ends.append(p + c.width)
+    total = len(c.symbols)
+    diff = np.bincount(np.concatenate(starts), minlength=total + 1).astype(np.int32)
+    diff -= np.bincount(np.concatenate(ends), minlength=total + 1).astype(np.int32)
+    return np.cumsum(diff[:total]) > 0
+
+
+def repeated(docs: DataFrame, chunk_of, finish, schema: str, any_: bool, chunk_bytes: int = 4 << 20) -> DataFrame:
+    """docs: doc_id and binary ``_text``. chunk_of(pdf) -> Chunk; finish(pdf, chunk, mask) -> rows of ``schema``."""
+    spark = docs.sparkSession
+    size = input_bytes(docs)
+    chunks = max(8, -(-size // chunk_bytes))
+    n = int(max(8, min(chunks, 1 << 16)))
+    docs = docs.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", F.length("_text")), F.lit(chunks)).cast("int"))
+    sent = docs.groupBy("_chunk").applyInPandas(_first_pass(chunk_of, any_, n), "_bucket int, _chunk int, k binary, s binary, v binary")
+    told = sent.groupBy("_bucket").applyInPandas(settle_slices(any_), "_chunk int, kind int, _bucket int, codes binary")
+    asked = docs.groupBy("_chunk").cogroup(told.groupBy("_chunk")).applyInPandas(_second_pass(chunk_of, any_, n), "_bucket int, _chunk int, s binary, v binary")
+    shown = asked.groupBy("_bucket").applyInPandas(settle_windows(any_), "_chunk int, kind int, _bucket int, codes binary")
+
+    def last(pdf: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return finish(pdf, None, None)
+        c = chunk_of(pdf)
+        return finish(pdf, c, covered(c, replies, any_, n))
+
+    return docs.groupBy("_chunk").cogroup(told.unionByName(shown).groupBy("_chunk")).applyInPandas(last, schema)

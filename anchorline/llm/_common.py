@@ -68,6 +68,18 @@ def input_bytes(df: DataFrame) -> int:
     return size
 
 
+#: Stands for a null id inside pandas, where nulls would turn ids into floats.
+NULL_ID = (1 << 63) - 1
+
+
+def packed_id(col):
+    return F.coalesce(col.cast("long"), F.lit(NULL_ID))
+
+
+def unpacked_id(col):
+    return F.when(col != NULL_ID, col)
+
+
 def fold(col: str = "doc_id", n: int = 4):
     """crc32 of the id's decimal text, modulo n."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % n

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorline.llm import repeats as R
-from anchorline.llm._common import fold, stored, table
+from anchorline.llm._common import fold, packed_id, stored, table, unpacked_id
 from anchorline.llm.substring_dedup import word_names
 
 U = np.uint64
@@ -120,10 +120,10 @@ def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(batches):
         for pdf in batches:
             got = statistics(list(pdf["_text"]))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), **got})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], **got})
 
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
-    return docs.mapInPandas(run, ", ".join(["doc_id long", *[f"{c} long" for c in BASE + MORE]]))
+    docs = docs.select(packed_id(F.col(id_col)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+    return docs.mapInPandas(run, ", ".join(["doc_id long", *[f"{c} long" for c in BASE + MORE]])).withColumn("doc_id", unpacked_id(F.col("doc_id")))
 
 
 def features() -> dict[str, Column]:

@@ -27,14 +27,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorline.llm._common import input_bytes
+from anchorline.llm._common import NULL_ID, input_bytes
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 PIECE = 1 << 19
 #: Slice names of one key in one chunk beyond which the key goes by windows alone.
 WIDE = 64
-NULL_ID = np.iinfo(np.int64).max
 _pow: np.ndarray | None = None
 _inv: np.ndarray | None = None
 
@@ -168,9 +167,15 @@ def _asked(k, s, v, wide, newk, n):
         yield b, send[i], marker[send[i]]
 
 
+def ordered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rows in one order whatever order a shuffle gives: all passes must cut a chunk into the same slices."""
+    order = sorted(range(len(pdf)), key=lambda i, a=pdf["doc_id"].tolist(), b=pdf["_text"].tolist(): (a[i], b[i]))
+    return pdf.iloc[order]
+
+
 def _first_pass(chunk_of, any_: bool, n: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        c = chunk_of(pdf)
+        c = chunk_of(ordered(pdf))
         k, s, v, wide, newk = c.entries(any_)
         at = int(pdf["_chunk"].iloc[0])
         rows = [(b, at, (k[i] // U(n)).astype("<u4").tobytes(), np.where(mark, U(0), s[i]).astype("<u8").tobytes(), planes(v[i])) for b, i, mark in _asked(k, s, v, wide, newk, n)]
@@ -289,7 +294,7 @@ def _second_pass(chunk_of, any_: bool, n: int):
         cols = ["_bucket", "_chunk", "s", "v"]
         if not len(docs):
             return pd.DataFrame([], columns=cols)
-        c = chunk_of(docs)
+        c = chunk_of(ordered(docs))
         *_, uniq, _index, val, _w = _answers(c, replies, any_, n)
         at = int(docs["_chunk"].iloc[0])
         return pd.DataFrame([(b, at, uniq[i].astype("<u8").tobytes(), planes(val[i])) for b, i in _window_buckets(uniq, n)], columns=cols)
@@ -334,7 +339,7 @@ def covered(c: Chunk, replies: pd.DataFrame, any_: bool, n: int) -> np.ndarray:
 
 
 def repeated(docs: DataFrame, chunk_of, finish, schema: str, any_: bool, chunk_bytes: int = 4 << 20) -> DataFrame:
-    """docs: doc_id and binary ``_text``. chunk_of(pdf) -> Chunk; finish(pdf, chunk, mask) -> rows of ``schema``."""
+    """docs: doc_id (not null: NULL_ID stands for it) and binary ``_text``. chunk_of(pdf) -> Chunk; finish(pdf, chunk, mask) -> rows of ``schema``."""
     spark = docs.sparkSession
     size = input_bytes(docs)
     chunks = max(8, -(-size // chunk_bytes))
@@ -348,6 +353,7 @@ def repeated(docs: DataFrame, chunk_of, finish, schema: str, any_: bool, chunk_b
     def last(pdf: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
             return finish(pdf, None, None)
+        pdf = ordered(pdf)
         c = chunk_of(pdf)
         return finish(pdf, c, covered(c, replies, any_, n))
 

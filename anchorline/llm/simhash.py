@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorline.llm._common import cut, stored, table
+from anchorline.llm._common import cut, packed_id, stored, table, unpacked_id
 
 U = np.uint64
 BITS = 3
@@ -55,10 +55,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         for pdf in batches:
             fp = np.array([fingerprint(t or b"") for t in pdf["_text"]], U).view(np.int64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": fp})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fp})
 
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("_text"))
-    return docs.mapInPandas(run, "doc_id long, fp long")
+    docs = docs.select(packed_id(F.col(id_col)).alias("doc_id"), F.col(text_col).cast("binary").alias("_text"))
+    return docs.mapInPandas(run, "doc_id long, fp long").withColumn("doc_id", unpacked_id(F.col("doc_id")))
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorline.llm import repeats as R
-from anchorline.llm._common import table
+from anchorline.llm._common import packed_id, table, unpacked_id
 
 WIDTH = 35
 ROUNDS = 3
@@ -172,14 +172,13 @@ def _finish(pdf, c, mask) -> pd.DataFrame:
             n = int(np.count_nonzero(m))
             kept = [w for w, x in zip(words, m.tolist(), strict=True) if not x] if n else words
             rows.append((i, len(words), n, hashlib.sha256(b" ".join(kept)).hexdigest()))
-    out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256"])
-    return out.astype({"doc_id": "Int64"})
+    return pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """One row a document: words removed, and a digest of those that are left."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
-    return R.repeated(docs, _chunk(width), _finish, OUT, any_=True)
+    docs = docs.select(packed_id(F.col(id_col)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+    return R.repeated(docs, _chunk(width), _finish, OUT, any_=True).withColumn("doc_id", unpacked_id(F.col("doc_id")))
 
 
 def substring_dedup_docs(docs: DataFrame, text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -188,9 +187,8 @@ def substring_dedup_docs(docs: DataFrame, text_col: str = "text", width: int = W
     A document that loses nothing keeps its text as it is, null included; one that loses every word is left empty.
     """
     cols = docs.columns
-    key = "doc_id" if "doc_id" in cols else cols[0]
     rest = F.struct(*[F.col(f"`{c}`") for c in cols if c != text_col]) if len(cols) > 1 else F.struct(F.lit(0).alias("_none"))
-    held = docs.select(F.col(key).cast("long").alias("doc_id"), rest.alias("_rest"), F.col(text_col).isNull().alias("_null"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+    held = docs.select((packed_id(F.col("doc_id")) if "doc_id" in cols else F.lit(0).cast("long")).alias("doc_id"), rest.alias("_rest"), F.col(text_col).isNull().alias("_null"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
     flat = held.select("doc_id", "_text", F.to_json("_rest", {"ignoreNullFields": "false"}).alias("_json"), "_null")
     schema = held.schema["_rest"].dataType
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorline.llm import repeats as R
-from anchorline.llm._common import table
+from anchorline.llm._common import packed_id, table, unpacked_id
 
 WIDTH = 50
 GRAM = 16
@@ -57,8 +57,7 @@ def minimizers(x: np.ndarray, cuts: np.ndarray, width: int) -> tuple[np.ndarray,
 def _chunk(width: int):
     def make(pdf: pd.DataFrame) -> R.Chunk:
         texts = pdf["_text"]
-        ids = pdf["doc_id"]
-        values = np.array([R.NULL_ID if x is None or x != x else int(x) for x in ids], np.int64)
+        values = pdf["doc_id"].to_numpy(np.int64)
         data = np.frombuffer(b"".join(texts), np.uint8)
         return R.Chunk(data, np.array([len(t) for t in texts], np.int64), values, width, minimizers, lift)
 
@@ -77,27 +76,26 @@ def _finish(pdf, c, mask) -> pd.DataFrame:
             else:
                 runs = 0
             rows.append((i, int(b - a), n, runs, hashlib.sha256(t).hexdigest()))
-    out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    return out.astype({"doc_id": "Int64"})
+    return pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def _finish_text(pdf, c, mask) -> pd.DataFrame:
     kept = [] if c is None else [c.symbols[a:b][~mask[a:b]].tobytes() for a, b in zip(c.starts, c.ends, strict=True)]
-    return pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64") if len(pdf) else pd.Series([], dtype="Int64"), "kept": kept})
+    return pd.DataFrame({"doc_id": pdf["doc_id"], "kept": kept})
 
 
 def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+    return docs.select(packed_id(F.col(id_col)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """One row a document: what was removed, and a digest of what is left."""
-    return R.repeated(_prepared(docs, id_col, text_col), _chunk(width), _finish, OUT, any_=False)
+    return R.repeated(_prepared(docs, id_col, text_col), _chunk(width), _finish, OUT, any_=False).withColumn("doc_id", unpacked_id(F.col("doc_id")))
 
 
 def suffix_dedup_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """The bytes that are left: doc_id, kept binary (a cut may fall inside a character)."""
-    return R.repeated(_prepared(docs, id_col, text_col), _chunk(width), _finish_text, "doc_id long, kept binary", any_=False)
+    return R.repeated(_prepared(docs, id_col, text_col), _chunk(width), _finish_text, "doc_id long, kept binary", any_=False).withColumn("doc_id", unpacked_id(F.col("doc_id")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,18 +89,19 @@ def test_small_pieces_and_wide_keys(wide, piece, monkeypatch):
     for mod, any_, w, brute in ((s5, False, 50, brute_bytes), (s6, True, 35, brute_words)):
         chunk_of = mod._chunk(w)
         n = 3
-        chunks = [pd.DataFrame({"doc_id": pd.Series([r[0] for r in rows[c::4]], dtype=object), "_text": [(r[1] or "").encode() for r in rows[c::4]], "_chunk": c}) for c in range(4)]
+        chunks = [repeats.ordered(pd.DataFrame({"doc_id": pd.Series([repeats.NULL_ID if r[0] is None else r[0] for r in rows[c::4]], dtype="int64"), "_text": [(r[1] or "").encode() for r in rows[c::4]], "_chunk": c})) for c in range(4)]
         cat = lambda fs: pd.concat(list(fs), ignore_index=True)
         sent = cat(repeats._first_pass(chunk_of, any_, n)(c) for c in chunks)
         told = cat(repeats.settle_slices(any_)(g) for _, g in sent.groupby("_bucket"))
-        asked = cat(repeats._second_pass(chunk_of, any_, n)(c, told[told._chunk == c._chunk[0]]) for c in chunks)
+        asked = cat(repeats._second_pass(chunk_of, any_, n)(c, told[told._chunk == c._chunk.iloc[0]]) for c in chunks)
         shown = cat([repeats.settle_windows(any_)(g) for _, g in asked.groupby("_bucket")] or [told[:0]])
         all_ = cat([told, shown])
         got = []
-        for c in chunks:
+        for c in (c.sample(frac=1, random_state=1) for c in chunks):
+            c = repeats.ordered(c)
             x = chunk_of(c)
-            out = mod._finish(c, x, repeats.covered(x, all_[all_._chunk == c._chunk[0]], any_, n))
-            got += [tuple(None if y is pd.NA else y for y in r) for r in out.itertuples(index=False)]
+            out = mod._finish(c, x, repeats.covered(x, all_[all_._chunk == c._chunk.iloc[0]], any_, n))
+            got += [(None if r[0] == repeats.NULL_ID else r[0], *r[1:]) for r in out.itertuples(index=False)]
         key = lambda x: tuple((y is None, y) for y in x)
         assert sorted(got, key=key) == sorted(brute(rows), key=key)
 

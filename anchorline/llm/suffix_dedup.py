@@ -24,7 +24,7 @@ from anchorline.llm import repeats as R
 from anchorline.llm._common import packed_id, table, unpacked_id
 
 WIDTH = 50
-GRAM = 16
+GRAM = 24
 U = np.uint64
 _LIFT = R.mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"

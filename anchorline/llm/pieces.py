@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,13 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Entries of each of the two generations of a worker's cache.
 CACHE = 300_000
 _SEGMENT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-_MASK = np.int32
 INF = 1 << 60
 
 
+def _little(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
 class Vocabulary:
     """Pieces, their merge order and their ids; plain data that is shipped to the workers."""
 
@@ -58,6 +62,9 @@ class Vocabulary:
                 self.split[p] = parts
         self.rank = {p: r for p, r in self.rank.items() if p in self.split}
         self.pair: dict[tuple[str, str], bool] = {}
+        self.tails = {p[i:] for p in self.rank for i in range(len(p))}
+        #: neighbours inside some piece; the paths meet between any others
+        self.joined = {p[i : i + 2] for p in self.rank for i in range(len(p) - 1)}
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -97,25 +104,29 @@ class Vocabulary:
 
     def viterbi(self, text: str, window: int = 64) -> list[str]:
         """Pieces of one stretch; commits whenever all surviving paths meet."""
-        rank, pair, longest = self.rank, self.pair, self.longest
+        rank, pair, longest, tails = self.rank, self.pair, self.longest, self.tails
         out: list[str] = []
         base = 0  # boundary up to which pieces are committed
         last: list[str] = [""]  # surviving piece at boundary base + i
         for end in range(1, len(text) + 1):
-            for start in range(max(base, end - longest), end):
-                p = text[start:end]
-                if end - start > 1 and p not in rank:
-                    continue
-                before = last[start - base]
-                if not before:
-                    break
-                ok = pair.get((before, p))
-                if ok is None:
-                    if len(pair) > 2 * CACHE:
-                        pair.clear()
-                    ok = pair[before, p] = self.compatible(before, p)
-                if ok:
-                    break
+            at = end - 1
+            p = text[at]
+            while True:  # longer and longer pieces that end here, as long as any piece ends so
+                if at == end - 1 or p in rank:
+                    before = last[at - base]
+                    if not before:
+                        break
+                    ok = pair.get((before, p))
+                    if ok is None:
+                        if len(pair) > 2 * CACHE:
+                            pair.clear()
+                        ok = pair[before, p] = self.compatible(before, p)
+                    if ok:
+                        break
+                at -= 1
+                p = text[at:end]
+                if at < base or p not in tails:
+                    raise AssertionError(f"no piece survives at {end} of {text!r}")
             last.append(p)
             if len(last) > window + longest:
                 meet = self._meet(last)
@@ -126,7 +137,7 @@ class Vocabulary:
                     last = last[meet:]
                     if out and not last[0]:
                         last[0] = out[-1]
-        return out + self._trace(last, len(last) - 1, bool(out))
+        return out + self._trace(last, len(last) - 1)
 
     def _meet(self, last: list[str]) -> int:
         open_ = set(range(len(last) - self.longest, len(last)))
@@ -137,7 +148,7 @@ class Vocabulary:
         return open_.pop()
 
     @staticmethod
-    def _trace(last: list[str], end: int, _more: bool = False) -> list[str]:
+    def _trace(last: list[str], end: int) -> list[str]:
         out = []
         while end > 0:
             out.append(last[end])
@@ -164,6 +175,16 @@ class Vocabulary:
             n -= now
         return out
 
+    def cuts(self, s: str) -> list[str]:
+        """Parts between neighbours that no piece has side by side (a run of space marks stays whole)."""
+        joined, out, at = self.joined, [], 0
+        for i in range(1, len(s)):
+            if s[i - 1 : i + 1] not in joined and s[i] != MARK and s[i - 1] != MARK:
+                out.append(s[at:i])
+                at = i
+        out.append(s[at:])
+        return out
+
     def segment(self, s: str) -> bytes:
         """Ids of one cached stretch as little-endian 32-bit numbers."""
         body = s.lstrip(MARK)
@@ -185,7 +206,7 @@ class Vocabulary:
                 ids += [self.byte[c] for c in p.encode()]
             else:
                 ids.append(self.unknown)
-        return np.array(ids, "<i4").tobytes()
+        return _little(ids)
 
 
 class Encoder:
@@ -208,7 +229,8 @@ class Encoder:
         if got is None:
             got = self.old.get(s)
             if got is None:
-                got = self.vocabulary.segment(s)
+                parts = self.vocabulary.cuts(s)
+                got = self.vocabulary.segment(s) if len(parts) == 1 else b"".join(map(self._get, parts))
             if len(s) <= 64:
                 if len(self.young) >= CACHE:
                     self.old, self.young = self.young, {}

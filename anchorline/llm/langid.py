@@ -35,7 +35,7 @@ HASHES = 2
 ORDERS = (2, 3, 4)
 #: A text whose best language has a smaller corrected share of its n-grams is not in any known language.
 COVERAGE = 0.15
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 _letters: np.ndarray | None = None
 
 

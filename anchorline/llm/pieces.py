@@ -30,7 +30,7 @@ from anchorline.llm._common import table
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Entries of each of the two generations of a worker's cache.
-CACHE = 300_000
+CACHE = 120_000
 _SEGMENT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 INF = 1 << 60
 

@@ -30,7 +30,7 @@ from anchorline.llm._common import table
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Entries of each of the two generations of a worker's cache.
-CACHE = 120_000
+CACHE = 200_000
 _SEGMENT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 INF = 1 << 60
 
@@ -110,6 +110,12 @@ class Vocabulary:
         last: list[str] = [""]  # surviving piece at boundary base + i
         for end in range(1, len(text) + 1):
             at = end - 1
+            p = last[-1] + text[at]  # one survives: if the piece before, one longer, does, no other is looked at
+            if p in rank:
+                before = last[end - len(p) - base]
+                if not before or pair.get((before, p)):
+                    last.append(p)
+                    continue
             p = text[at]
             while True:  # longer and longer pieces that end here, as long as any piece ends so
                 if at == end - 1 or p in rank:
@@ -178,6 +184,8 @@ class Vocabulary:
     def cuts(self, s: str) -> list[str]:
         """Parts between neighbours that no piece has side by side (a run of space marks stays whole)."""
         joined, out, at = self.joined, [], 0
+        if s.lstrip(MARK).isalpha():  # letters rarely part, and need not
+            return [s]
         for i in range(1, len(s)):
             if s[i - 1 : i + 1] not in joined and s[i] != MARK and s[i - 1] != MARK:
                 out.append(s[at:i])
@@ -197,15 +205,11 @@ class Vocabulary:
                     parts = parts[1:]
                 else:
                     marks -= 1
-        ids: list[int] = []
-        for p in [MARK * k for k in self.run(marks)] + parts:
-            i = self.ids.get(p)
-            if i is not None:
-                ids.append(i)
-            elif self.byte:
-                ids += [self.byte[c] for c in p.encode()]
-            else:
-                ids.append(self.unknown)
+        if marks:
+            parts = [MARK * k for k in self.run(marks)] + parts
+        ids = [self.ids.get(p) for p in parts]
+        if None in ids:
+            ids = [i for p, known in zip(parts, ids, strict=True) for i in ([known] if known is not None else [self.byte[c] for c in p.encode()] if self.byte else [self.unknown])]
         return _little(ids)
 
 

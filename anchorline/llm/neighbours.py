@@ -6,7 +6,8 @@ lists whose centroids promise most, looks its asymmetric distances up in one tab
 ``rerank`` candidates of each chunk exactly, in double precision on the original vectors.
 
 Lists are cut into chunks of bounded size by a hash of the id, so a list with a third of all rows is many
-tasks; queries of a list are cut likewise and meet each chunk in blocks. What leaves a task is k rows a query.
+tasks; queries are cut likewise into shares of bounded size, each of which meets a chunk in a task of its own (the
+chunk's vectors are sent once a share). What leaves a task is k rows a query.
 Queries are the stated ids; a query's own row is no candidate for it. Null vectors, zero vectors, wrong
 lengths and null or non-finite components take no part, as query or candidate. Ties go to the smaller id; of
 rows that repeat an id and vector each is a candidate. An empty table gives an empty result.
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 
 from anchorline.llm._common import stored, table
 
-#: Bounds: vectors for the fit, lists, vectors in a chunk, queries in a block.
-SAMPLE, MOST_LISTS, CHUNK, QUERIES = 20_000, 1024, 16_384, 512
+#: Bounds: vectors for the fit, lists, vectors in a chunk, queries in a block, queries that meet a chunk in one task.
+SAMPLE, MOST_LISTS, CHUNK, QUERIES, SHARE = 20_000, 1024, 16_384, 512, 16_384
 PARTS = 16
 K = 20
 #: Lists visited at least, so that small tables, with few lists, keep their recall.
@@ -105,18 +106,21 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     chunks = {at: max(1, -(-size // CHUNK)) for at, (size, _) in sizes.items()}
     total_q = sum(q for _, q in sizes.values())
     blocks = max(1, -(-total_q // QUERIES))
+    shares = max(1, -(-total_q // SHARE))
     per = F.element_at(F.create_map(*[F.lit(x) for at, c in chunks.items() for x in (at, c)]), F.col("at")) if len(chunks) < 2000 else F.lit(1)
     cell = placed.select("at", F.pmod(F.xxhash64("vec_id"), per).cast("int").alias("chunk"), "vec_id", "codes", "v")
+    cell = cell.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))) if shares > 1 else F.lit(0))
 
     def visit(batches):
         for pdf in batches:
             q = np.frombuffer(b"".join(pdf["v"]), float).reshape(-1, dim)
             c = shared.value.centroids
             best = np.argsort(-(q @ c.T), axis=1, kind="stable")[:, :visits]
-            rows = [(int(a), j, int(i), v) for i, v, lists_ in zip(pdf["vec_id"], pdf["v"], best, strict=True) for a in lists_ for j in range(chunks.get(int(a), 0))]
-            yield pd.DataFrame(rows, columns=["at", "chunk", "query_id", "v"])
+            rows = [(int(a), j, s, int(i), v) for i, v, s, lists_ in zip(pdf["vec_id"], pdf["v"], pdf["share"], best, strict=True) for a in lists_ for j in range(chunks.get(int(a), 0))]
+            yield pd.DataFrame(rows, columns=["at", "chunk", "share", "query_id", "v"])
 
-    asked = placed.where("is_query").select("vec_id", "v").repartition(blocks, "vec_id").mapInPandas(visit, "at int, chunk int, query_id long, v binary")
+    share = F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(shares)).cast("int").alias("share")
+    asked = placed.where("is_query").select("vec_id", "v", share).repartition(blocks, "vec_id").mapInPandas(visit, "at int, chunk int, share int, query_id long, v binary")
 
     def meet(key, queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -139,7 +143,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
                 out.append(pd.DataFrame({"query_id": own[real], "vec_id": ids[np.take_along_axis(top, best, 1)][real], "score": score[real]}))
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    pairs = asked.groupBy("at", "chunk").cogroup(cell.groupBy("at", "chunk")).applyInPandas(meet, "query_id long, vec_id long, score double")
+    pairs = asked.groupBy("at", "chunk", "share").cogroup(cell.groupBy("at", "chunk", "share")).applyInPandas(meet, "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 

@@ -174,8 +174,10 @@ def brute_near(rows, k=20):
     return out
 
 
-def test_neighbours_exact_when_all_is_probed(spark, monkeypatch):
+@pytest.mark.parametrize("share", [4, 16_384])
+def test_neighbours_exact_when_all_is_probed(spark, monkeypatch, share):
     monkeypatch.setattr(neighbours, "CHUNK", 64)
+    monkeypatch.setattr(neighbours, "SHARE", share)
     r = np.random.default_rng(3)
     rows = [(i, r.integers(-3, 4, 8).astype(float).tolist()) for i in range(300)]
     rows += [(400 + i, rows[5][1]) for i in range(100)] + [(1000, None), (1020, [0.0] * 8), (1040, [1.0] * 7), (1041, [float("nan")] + [1.0] * 7), (1042, [None] + [1.0] * 7), (1043, [float("inf")] + [1.0] * 7)]

@@ -2,8 +2,8 @@
 
 A rule is a canonical URL: host and path. It fits its host and all subdomains where the url's path starts
 with its own; the longest rule that fits decides (rules of equal text: block wins). Every url has a few
-canonical candidates: its host's suffixes at label ends with its path's prefixes of the lengths that occur
-among the rules. Each candidate looks up one block of 512 bits of the filter (a join on the block number with
+canonical candidates: its host's suffixes of the numbers of labels that occur among the rules, with its path's
+prefixes of the lengths that occur there, so a host of very many labels has no more candidates than others. Each candidate looks up one block of 512 bits of the filter (a join on the block number with
 a table of bounded size, so it is broadcast) and only possible hits enter the exact join, which removes false
 positives. Hits are folded per distinct (page, host, path) and joined back.
 
@@ -63,21 +63,25 @@ def bloom(rules: DataFrame) -> tuple[DataFrame, int]:
 
 
 def canonical(rules: DataFrame) -> DataFrame:
-    """host, path, action -> rule, action; one row a rule text."""
+    """host, path, action -> rule, action, length of the path, labels of the host; one row a rule text."""
     rules = rules.where("host is not null and path is not null and action is not null")
-    rules = rules.select(F.concat(_lower(F.col("host")), F.col("path")).alias("rule"), F.length("path").alias("_len"), "action")
-    return rules.groupBy("rule").agg(F.max("_len").alias("_len"), F.max("action").alias("action"))
+    size = F.size(F.split("host", r"\."))
+    rules = rules.select(F.concat(_lower(F.col("host")), F.col("path")).alias("rule"), F.length("path").alias("_len"), size.alias("_labels"), "action")
+    return rules.groupBy("rule").agg(F.max("_len").alias("_len"), F.max("_labels").alias("_labels"), F.max("action").alias("action"))
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule (null if none fits) and verdict."""
     rules = cut(canonical(rules))
     filter_, blocks = bloom(rules)
-    lengths = [r[0] for r in rules.select("_len").distinct().collect()]  # no more than urls are long
+    # no more of either than urls are long
+    lengths = [r[0] for r in rules.select("_len").distinct().collect()]
+    counts = [r[0] for r in rules.select("_labels").distinct().collect()]
     host, path = host_path(F.col(url_col))
     urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    ends = F.filter(F.array(*[F.lit(x) for x in sorted(counts)]).cast("array<int>"), lambda n: n <= F.size(labels))
+    suffixes = F.transform(ends, lambda n: F.array_join(F.slice(labels, -n, n), "."))
     fits = F.filter(F.array(*[F.lit(x) for x in sorted(lengths)]).cast("array<int>"), lambda n: n <= F.length("path"))
     starts = F.transform(fits, lambda n: F.substring(F.col("path"), F.lit(1), n))
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(starts, lambda p: F.concat(s, p))))

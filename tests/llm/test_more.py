@@ -98,6 +98,7 @@ def test_urls(spark, many):
             seen[h + p] = max(seen.get(h + p, ("",))[-1:], (a,)) and (h, p, max(a, seen.get(h + p, ("", "", ""))[2]))
         rules = list(seen.values())
         urls += [f"http://{'.'.join(r.choice('abcd') * 2 for _ in range(4))}/{r.choice('xyz')}/{r.choice('xyz')}" for _ in range(500)]
+    urls += [f"http://{'a.' * 30_000}net/es/", "http://net" + ".net" * 30_000 + "/" + "x" * 100_000]
     rows = [(i % 400, u, "h") for i, u in enumerate(urls)] + [(0, urls[0], "h"), (None, urls[1], "h")]
     df = spark.createDataFrame(rows, "page_id long, url string, host string")
     rf = spark.createDataFrame([*rules, (None, "/", "block")], "host string, path string, action string")

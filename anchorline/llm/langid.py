@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from anchorline.llm._common import fold, table
@@ -155,8 +155,9 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     per = found.join(sums, "lang").withColumn("f", F.col("n") / F.col("total"))
     top = per.groupBy("gram").agg(F.max("f").alias("most"))
     kept = per.join(top, "gram").where(F.col("f") >= RELATIVE * F.col("most"))
-    kept = kept.groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "gram")), asc=False), 1, GRAMS).alias("g"))
-    got = {r[0]: np.array(r[1], np.int64).view(U) for r in kept.select("lang", "g.gram").collect()}
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), F.desc("gram"))  # ranks are cut before the shuffle
+    kept = kept.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= GRAMS)
+    got = {r[0]: np.array(r[1], np.int64).view(U) for r in kept.groupBy("lang").agg(F.collect_list("gram")).collect()}
     names = sorted(got, key=lambda x: (-sizes[x], x))
     return Filters(names, got)
 

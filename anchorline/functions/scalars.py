@@ -98,6 +98,16 @@ def licence_open(c: Column) -> Column:
     return c.rlike(r"(?i)^(cc0|public domain|pdm|cc[ -]by)")
 
 
+def licence_share_alike(c: Column) -> Column:
+    return c.rlike(r"(?i)(^|[^a-z])sa([^a-z]|$)|share[ -]?alike")
+
+
+def catalogue_slug(title: Column) -> Column:
+    """A title without its namespace and extension: at most 60 characters of a-z, 0-9 and ``_``."""
+    bare = F.regexp_replace(F.replace(title, F.lit("File:"), F.lit("")), r"(?<=[^./])\.[^./]*$", "")
+    return F.substring(F.lower(F.regexp_replace(F.regexp_replace(bare, "[^A-Za-z0-9]+", "_"), "^_+|_+$", "")), 1, 60)
+
+
 def inference_size(width: Column, override: Column | None = None) -> Column:
     size = F.greatest(F.lit(320), (F.rint(F.least(width, F.lit(1920)) / 32) * 32).cast("int"))
     return F.coalesce(override, size) if override is not None else size

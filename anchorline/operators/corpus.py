@@ -72,3 +72,15 @@ def update_from(base: DataFrame, news: DataFrame, key: str, columns: Sequence[st
     n = news.select(F.col(key), *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
     out = base.join(n, key, "left")
     return out.select(*[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in base.columns])
+
+
+def analysis_view(snapshots: DataFrame, meta: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Available snapshots of entities that did not fail, with ``columns`` of the metadata."""
+    ok = meta.where("qc_status is null or qc_status <> 'fail'").select(key, *columns)
+    return snapshots.where("snapshot_available").join(ok, key)
+
+
+def passing(facts: DataFrame, meta: DataFrame, check: str, key: str = "pk_id", media: str = "video") -> DataFrame:
+    """Entities with this kind of media whose check passed."""
+    ok = facts.where((F.col("check") == check) & (F.col("status") == "pass")).select(key)
+    return meta.where(F.col("media_kind") == media).join(ok, key, "left_semi")

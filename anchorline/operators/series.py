@@ -78,3 +78,26 @@ def middle_row(df: DataFrame, key: str, order: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(order)
     n = F.count("*").over(Window.partitionBy(key))
     return df.withColumn("_rn", F.row_number().over(w)).withColumn("_n", n).where(F.col("_rn") == F.floor(F.col("_n") / 2) + 1).drop("_rn", "_n")
+
+
+def track_diagnostics(df: DataFrame, key: str, track: str, frame: str, x: str, y: str, confidence: str, top: int | None = None) -> DataFrame:
+    """Length, frame range, mean confidence and extent of each track; the ``top`` longest of an entity, ties by track."""
+    out = df.groupBy(key, track).agg(
+        F.count("*").alias("n"), F.min(frame).alias("first_frame"), F.max(frame).alias("last_frame"), F.avg(confidence).alias("mean_confidence"),
+        F.min(x).alias("x_min"), F.max(x).alias("x_max"), F.min(y).alias("y_min"), F.max(y).alias("y_max"),
+    )
+    if top is None:
+        return out
+    w = Window.partitionBy(key).orderBy(F.desc("n"), track)
+    return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= top).drop("_rn")
+
+
+def longest_track(df: DataFrame, key: str, track: str) -> DataFrame:
+    """Rows of an entity and length of its longest track."""
+    per = df.groupBy(key, track).agg(F.count("*").alias("n"))
+    return per.groupBy(key).agg(F.sum("n").alias("n_rows"), F.max("n").alias("longest"))
+
+
+def speed_profile(df: DataFrame, key: str, speed: str) -> DataFrame:
+    """Exact quartile, ninth decile and maximum of a speed; nulls take no part."""
+    return df.groupBy(key).agg(F.percentile(speed, F.lit(0.25)).alias("p25"), F.percentile(speed, F.lit(0.9)).alias("p90"), F.max(speed).alias("max_speed"))

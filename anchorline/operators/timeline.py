@@ -86,3 +86,13 @@ def snapshots(
     exprs += [F.when(exact, own(c)).when(interp, F.col(f"_lo_{c}")).alias(c) for c in carried]
     derivation = F.when(interp, "interpolated").otherwise("derived").alias("derivation")
     return s.select(*out, *exprs, exact.alias("is_observed_frame"), derivation)
+
+
+def nearest_observed(frames: DataFrame, snapshots: DataFrame, key: str, frame: str, time: str, off: str = "off") -> DataFrame:
+    """For each available snapshot the observed frame closest to its offset, the earlier of equals.
+
+    The ladder has a fixed number of offsets, so the equi-join on the entity grows with the frames alone.
+    """
+    s = snapshots.where("snapshot_available").select(key, off)
+    near = F.struct(F.abs(F.col(time) - F.col(off)), F.col(time), F.col(frame))
+    return frames.where(F.col(time).isNotNull()).select(key, frame, time).join(s, key).groupBy(key, off).agg(F.min_by(frame, near).alias(frame))

@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from anchorline.functions.scalars import goal_flag, has_token, hms_seconds, nan_to_null, side
+from anchorline.functions.scalars import catalogue_slug, dedup_key, entity_id, entity_uid, goal_flag, has_token, hms_seconds, licence_open, licence_share_alike, nan_to_null, side
 
 # Names in the second release of the pose table and those they become.
 RENAMES = {"kick_id": "kick_id_raw", "kicker_track_id_main": "track_id", "frame": "frame_num"}
 KEYPOINTS = range(5, 17)
+#: A catalogue entry with what was probed of its file.
+ENTRY = "title string, artist string, credit string, descriptionurl string, license string, license_url string, relpath string, sha256 string, fps double, n_frames int, width int, height int"
 
 
 def read_strings(spark: SparkSession, path: str) -> DataFrame:
@@ -94,3 +96,41 @@ def union_first(parts: Sequence[DataFrame], key: str) -> DataFrame:
 def exclusion(other: Column, width: Column, duration: Column, licence: Column) -> Column:
     """Why a catalogue entry is left out, first reason first; NULL keeps it."""
     return F.when(other, "other_sport").when(width < 640, "too_narrow").when(duration > 240, "too_long").when(licence.isNull() | (licence == ""), "no_licence")
+
+
+def crosswalk_coverage(segs: DataFrame, walk: DataFrame, video: str = "video_name") -> DataFrame:
+    """Segments, their distinct videos, and rows of the crosswalk that map one of these videos to a name."""
+    bare = lambda c: F.regexp_replace(c, r"\.mkv$", "")
+    mapped = walk.where("target is not null").withColumn("_n", bare(F.col("name"))).join(segs.select(bare(F.col(video)).alias("_n")).distinct(), "_n", "left_semi")
+    n = segs.agg(F.count("*").alias("segments"), F.count_distinct(video).alias("videos"), F.lit(0).cast("long").alias("mapped"))
+    none = F.lit(0).cast("long")
+    both = n.unionByName(mapped.agg(none.alias("segments"), none.alias("videos"), F.count("*").alias("mapped")))
+    return both.agg(*[F.sum(c).alias(c) for c in ("segments", "videos", "mapped")])
+
+
+def catalogue_metadata(entries: DataFrame, slug: str, family: str, now: str) -> DataFrame:
+    """Metadata of catalogue entries (see ``ENTRY``). No label is inferred; empty parts leave the attribution."""
+    ident = catalogue_slug(F.col("title"))
+    filled = lambda c: F.nullif(F.trim(F.regexp_replace(c, "<[^>]+>", "")), F.lit(""))
+    parts = F.nullif(F.concat_ws("; ", *[filled(F.col(c)) for c in ("artist", "credit", "descriptionurl")]), F.lit(""))
+    free = F.coalesce(licence_open(F.col("license")), F.lit(False))
+    note = F.when(~free, "licence unclear: only derived rows are published").when(licence_share_alike(F.col("license")), "copies must carry the same licence").otherwise("attribution required")
+    x = entries.withColumn("pk_id", entity_id(F.lit(slug), ident))
+    return x.select(
+        "pk_id", entity_uid(F.col("pk_id")).alias("pk_uid"), F.lit(slug).alias("source"), F.col("title").alias("source_identifier"), dedup_key(F.lit(family), ident).alias("dedup_key"), F.lit(True).alias("is_primary"),
+        F.lit("video").alias("media_kind"), F.col("relpath").isNotNull().alias("has_video"), F.col("relpath").alias("video_relpath"), F.col("sha256").alias("video_sha256"), F.nullif("fps", F.lit(0.0)).alias("fps"),
+        F.nullif("n_frames", F.lit(0)).alias("n_frames"), F.col("width").alias("frame_width"), F.col("height").alias("frame_height"), F.try_divide(F.nullif("n_frames", F.lit(0)), F.nullif("fps", F.lit(0.0))).alias("clip_duration_s"),
+        F.lit("none").alias("label_provenance"), F.coalesce(F.nullif("license", F.lit("")), F.lit("unknown")).alias("license"), "license_url", F.coalesce(parts, F.col("title")).alias("attribution"),
+        F.lit(True).alias("redistribute_derived"), free.alias("redistribute_video"), note.alias("redistribution_note"), F.lit(now).alias("ingested_at_utc"), F.lit("pending").alias("qc_status"),
+    )
+
+
+def media_files(spark: SparkSession, path: str, glob: str = "*.mp4") -> DataFrame:
+    """name, n_bytes and sha256 of files below ``path`` (each at most 2 GB, as it is hashed in one piece)."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    return raw.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def render_only(ink: Column, least: float = 0.05) -> Column:
+    """Media kind by the share of lit pixels in the first frame; an unreadable frame counts as video."""
+    return F.when(ink < least, "render_only").otherwise("video")

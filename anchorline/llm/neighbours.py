@@ -3,7 +3,10 @@
 Coarse centroids and residual codebooks are fitted by k-means on at most ``SAMPLE`` vectors (chosen by a hash
 of the id); every vector is indexed: its list, and its residual as one byte a subspace. A query probes the
 lists whose centroids promise most, looks its asymmetric distances up in one table a list, and scores the best
-``rerank`` candidates of each chunk exactly, in double precision on the original vectors.
+``rerank`` candidates of each chunk exactly, in double precision on the original vectors. Every other candidate
+whose approximate score comes within its own quantisation error of the k-th best of these is scored exactly too
+(by Cauchy and Schwarz the rest cannot reach it), so the best k of the visited lists are exact: only the choice
+of lists is approximate, however many vectors are nearly alike.
 
 Lists are cut into chunks of bounded size by a hash of the id, so a list with a third of all rows is many
 tasks; queries are cut likewise into shares of bounded size, each of which meets a chunk in a task of its own (the
@@ -25,6 +28,8 @@ from anchorline.llm._common import stored, table
 #: Bounds: vectors for the fit, lists, vectors in a chunk, queries in a block, queries that meet a chunk in one task.
 SAMPLE, MOST_LISTS, CHUNK, QUERIES, SHARE = 20_000, 1024, 16_384, 512, 16_384
 PARTS = 16
+#: Pairs scored exactly at once.
+PAIRS = 1 << 15
 K = 20
 #: Lists visited at least, so that small tables, with few lists, keep their recall.
 LEAST_VISITS = 24
@@ -71,6 +76,35 @@ class Index:
             out += (q[:, s] @ b.T)[:, codes[:, i]]
         return out
 
+    def error(self, x: np.ndarray, at: int, codes: np.ndarray) -> np.ndarray:
+        """Distance of each vector of one list from what its code stands for."""
+        coded = [b[codes[:, i]] for i, b in enumerate(self.books)]
+        return np.linalg.norm(x - self.centroids[at] - np.concatenate(coded, 1), axis=1)
+
+
+def best_of(q: np.ndarray, x: np.ndarray, near: np.ndarray, error: np.ndarray, k: int, rerank: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query and vector positions and exact scores that hold the best k of each query; ``near`` is -inf for no candidate.
+
+    A score is at most the approximate one plus query length times error. Ties with the k-th best are all given.
+    """
+    n = len(x)
+    keep = near > -np.inf
+    size = np.linalg.norm(q, axis=1)
+    round_off = 1e-9 * size * np.linalg.norm(x, axis=1).max()
+    if n > max(k, rerank):
+        top = np.argpartition(-near, max(k, rerank) - 1, axis=1)[:, : max(k, rerank)]
+        exact = np.where(np.take_along_axis(keep, top, 1), np.einsum("qrd,qd->qr", x[top], q), -np.inf)
+        least = np.partition(exact, -k, axis=1)[:, -k] - round_off
+        keep &= ~(near + size[:, None] * error < least[:, None])
+        some = np.flatnonzero(keep.any(0))
+        if keep.sum() > 2 * top.size and len(some) > k:  # many: one product, then only what rounding leaves open
+            product = np.where(keep[:, some], q @ x[some].T, -np.inf)
+            least = np.partition(product, -k, axis=1)[:, -k] - round_off
+            keep[:, some] &= ~(product < least[:, None])
+    at_q, at_x = np.nonzero(keep)
+    score = [np.einsum("nd,nd->n", x[at_x[a : a + PAIRS]], q[at_q[a : a + PAIRS]]) for a in range(0, len(at_q), PAIRS)]
+    return at_q, at_x, np.concatenate(score or [np.zeros(0)])
+
 
 def _usable(c: Column, dim: int | None = None) -> Column:
     fine = F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(c, lambda x: x != 0)
@@ -128,19 +162,17 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
             found = found.sort_values("vec_id", kind="stable")
             ids, x = found["vec_id"].to_numpy(), np.frombuffer(b"".join(found["v"]), float).reshape(-1, dim)
             codes = np.frombuffer(b"".join(found["codes"]), np.uint8).reshape(len(ids), -1)
+            error = shared.value.error(x, int(key[0]), codes)
             for a in range(0, len(queries), 128):
                 part = queries.iloc[a : a + 128]
                 qid, q = part["query_id"].to_numpy(), np.frombuffer(b"".join(part["v"]), float).reshape(-1, dim)
                 near = shared.value.approximate(q, int(key[0]), codes)
                 near[ids[None, :] == qid[:, None]] = -np.inf
-                top = np.argsort(-near, axis=1, kind="stable")[:, : max(k, rerank)]  # equal codes: smaller ids first
-                exact = np.einsum("qrd,qd->qr", x[top], q)
-                exact[np.take_along_axis(near, top, 1) == -np.inf] = -np.inf
-                best = np.lexsort((ids[top], -exact), axis=1)[:, :k]
-                score = np.take_along_axis(exact, best, 1)
-                own = np.repeat(qid, score.shape[1]).reshape(score.shape)
-                real = score > -np.inf
-                out.append(pd.DataFrame({"query_id": own[real], "vec_id": ids[np.take_along_axis(top, best, 1)][real], "score": score[real]}))
+                at_q, at_x, score = best_of(q, x, near, error, k, rerank)
+                order = np.lexsort((at_x, -score, at_q))  # found is sorted: smaller ids first
+                at_q, at_x, score = at_q[order], at_x[order], score[order]
+                first = np.arange(len(at_q)) - np.searchsorted(at_q, at_q) < k
+                out.append(pd.DataFrame({"query_id": qid[at_q[first]], "vec_id": ids[at_x[first]], "score": score[first]}))
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     pairs = asked.groupBy("at", "chunk", "share").cogroup(cell.groupBy("at", "chunk", "share")).applyInPandas(meet, "query_id long, vec_id long, score double")

@@ -201,6 +201,22 @@ def test_neighbours_recall(spark):
     assert len(got) == len(recall) and np.mean(recall) >= 0.9
 
 
+def test_neighbours_of_a_hot_group_of_near_copies(spark):
+    r = np.random.default_rng(11)
+    x = r.normal(size=(8000, 64)) / 8
+    x[:4800] = x[np.arange(4800) % 12] + r.normal(size=(4800, 64)) * 0.00003
+    x[4800:4840] = x[4800]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = neighbours.search(df, F.col("vec_id") % 40 == 0, probe=1.0, lists=16).toPandas()
+    got = {k: v.sort_values("rank") for k, v in out.groupby("query_id")}
+    assert len(got) == 200
+    for q in range(0, 8000, 40):
+        s = np.einsum("nd,d->n", x, x[q])
+        s[q] = -np.inf
+        want = np.argsort(-s, kind="stable")[:20]
+        assert got[q].vec_id.tolist() == want.tolist() and np.allclose(got[q].score, s[want])
+
+
 # 8 ---------------------------------------------------------------------------------------------------------
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorline.llm._common import cut, packed_id, stored, table, unpacked_id
@@ -61,6 +61,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.mapInPandas(run, "doc_id long, fp long").withColumn("doc_id", unpacked_id(F.col("doc_id")))
 
 
+def fingerprint_of(text: Column) -> Column:
+    """The fingerprint of a text column as a signed long, for few rows beside their other columns."""
+
+    @F.pandas_udf("long")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t or b"") for t in texts], U).view(np.int64))
+
+    return run(text.cast("binary"))
+
+
 def gray_rank(x: np.ndarray) -> np.ndarray:
     """Position of each code word in the reflected Gray order."""
     for s in (1, 2, 4, 8, 16, 32):
@@ -209,8 +219,8 @@ def components(edges: DataFrame) -> DataFrame:
         before = sign
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id (the least doc_id that links reach)."""
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """doc_id, fp, root (a fingerprint that names the component) and component_id (the least doc_id that links reach)."""
     fps = stored(fingerprints(docs, id_col, text_col))
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(distinct, bits))
@@ -220,9 +230,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = cut(top.select("fp", F.col("root"), "least", "below"))
     # a root's own least is in its own row only: bring it to its members
     own = label.where("fp = root").select(F.col("root").alias("_root"), F.least("least", "below").alias("component_id"))
-    members = label.where("fp <> root").join(own, F.col("root") == F.col("_root")).select("fp", "component_id")
-    label = cut(members.union(label.where("fp = root").select("fp", F.least("least", "below").alias("component_id"))))
-    out = fps.join(label, "fp")
+    members = label.where("fp <> root").join(own, F.col("root") == F.col("_root")).select("fp", "root", "component_id")
+    label = cut(members.union(label.where("fp = root").select("fp", "root", F.least("least", "below").alias("component_id"))))
+    return fps.join(label, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id (the least doc_id that links reach)."""
+    out = grouped(docs, id_col, text_col, bits)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -2,7 +2,8 @@
 
 1. language ID: a document goes if it has no letter (or no text), or if no known language holds a fair share
    of its n-grams; all others stay as they are;
-2. SimHash near-dedup: of each component the document with the smallest doc_id stays (one row, if repeated);
+2. SimHash near-dedup: of each component the row with the smallest doc_id stays (one, if repeated; an id whose
+   rows are of several components is judged row by row);
 3. substring dedup: windows of 35 words that occur more than once are cut out of the texts;
 4. mixing: documents are drawn to the target weights, one row a draw;
 5. SentencePiece: the ids of each text, with a digest of their decoding.
@@ -29,15 +30,18 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     release()
-    found = simhash.near_duplicates(docs)
+    found = simhash.grouped(docs)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     # ids that occur more than once (a row without id is left alone)
     twice = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_twice"))
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    once = kept.join(twice, F.col("doc_id") == F.col("_twice"), "left_anti")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.lit(0))
-    more = kept.join(twice, F.col("doc_id") == F.col("_twice"), "left_semi")
-    first = more.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    once = docs.join(twice, F.col("doc_id") == F.col("_twice"), "left_anti").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    # their rows can be of several components: each row is judged by its own text
+    parts = found.join(twice, F.col("doc_id") == F.col("_twice"), "left_semi").where("doc_id = component_id")
+    parts = parts.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("root").alias("_root")).distinct()
+    more = docs.join(twice, F.col("doc_id") == F.col("_twice"), "left_semi").withColumn("_own", simhash.fingerprint_of(F.col("text")))
+    more = more.join(parts, (F.col("doc_id") == F.col("_id")) & (F.col("_own") == F.col("_fp")))
+    order = Window.partitionBy("doc_id", "_root").orderBy(F.xxhash64("text"), F.lit(0))
+    first = more.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth", "_own", "_id", "_fp", "_root")
     return once.unionByName(first)
 
 

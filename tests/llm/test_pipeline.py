@@ -63,6 +63,14 @@ def test_odd_inputs(spark):
         assert f(spark, df.limit(0), SF).count() == 0
 
 
+def test_one_id_with_different_texts(spark):
+    near = corpus_pipeline.near_copies
+    a, b = "the first text has words of its own", "nothing here is like that other one"
+    odd = lambda rows: sorted((r.doc_id, r.text) for r in near(spark, spark.createDataFrame(rows, "doc_id long, text string, k int"), SF).collect())
+    assert odd([(5, a, 1), (5, b, 2), (3, a, 3)]) == [(3, a), (5, b)]
+    assert odd([(5, a, 1), (5, b, 2), (5, b, 3), (7, b, 4)]) == sorted([(5, a), (5, b)])
+
+
 def test_registered():
     import __spark_entry__
 

@@ -1,11 +1,10 @@
 """Operator 5: removal of byte strings that an earlier document already holds.
 
-Suffixes are put in order by the names of their first 50 bytes (the naming of Karp, Miller and Rosenberg,
-so equal prefixes are neighbours; among equals the smaller document id comes first). The previous smaller
-position of a suffix in that order is then the entry before it, and its longest previous factor reaches 50
-exactly where that entry has the same name and a smaller id. Whole runs of suffixes that share a minimizer
-are named at once (``repeats``), and only runs that differ between documents are opened into single
-suffixes, so that far fewer than one record a byte is shuffled.
+Windows of 50 bytes are grouped by minimizer and hash, and a window is removed where its group holds a
+smaller id. This stands in for longest previous factors, which are not computed: no suffix is sorted, and only
+whether a factor reaches 50 bytes is known. Whole runs of windows that share a minimizer are named at once
+(``repeats``), and only runs that differ between documents are opened into single windows, so that far fewer
+than one record a byte is shuffled.
 
 Null text counts as empty. A null doc_id counts as larger than any other. Rows with equal doc_id are not
 earlier than each other. Documents of under 50 bytes lose nothing. Other columns are not read.

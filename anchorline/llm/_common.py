@@ -17,67 +17,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one only where the session names none (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    """The folder all executors share. Only a local session, whose executors are the driver, may do without one."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="anchorline-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint in the shared folder; its files go with the frame."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-_written: list[tuple[SparkSession, str]] = []
-
-
-def stored(df: DataFrame, keep: bool = False) -> DataFrame:
-    """Writes the rows as a Parquet table in the shared folder and reads them back; ``release`` leaves it if ``keep``."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/anchorline-{uuid.uuid4().hex}.parquet"
-    df.write.option("compression", "zstd").parquet(path)
-    if not keep:
-        _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release() -> None:
-    """Deletes the tables that ``stored`` wrote. Only call when no frame built on them is still to be read."""
-    while _written:
-        spark, path = _written.pop()
-        try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception as e:  # a stopped session: its folder is the cluster's to clean
-            if "stopped" not in str(e).lower():
-                raise
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; counted only where there is none."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > 1 << 55:
-        cols = [F.coalesce(F.length(c), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
-        row = df.agg(F.count("*").alias("n"), F.sum(sum(cols, F.lit(0)).cast("long")).alias("s")).first()
-        size = 16 * row["n"] + (row["s"] or 0)
-    return size
+class Tables:
+    """Tables of one owner in the shared folder: written by ``stored``, deleted by ``drop`` (of this owner's only).
 
+    Frames that read them are lazy, so an owner drops them when it has read all it needs; whatever is left goes
+    when the application's file system is closed.
+    """
 
-#: Stands for a null id inside pandas, where nulls would turn ids into floats.
-NULL_ID = (1 << 63) - 1
+    def __init__(self):
+        self.held: list[tuple[object, object]] = []
 
+    def stored(self, df: DataFrame) -> DataFrame:
+        """The rows, written as Parquet and read back: cuts the lineage, survives the loss of executors."""
+        spark = df.sparkSession
+        path = f"{shared_dir(spark)}/anchorline-{uuid.uuid4().hex}.parquet"
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        df.write.option("compression", "zstd").parquet(path)
+        fs.deleteOnExit(p)
+        self.held.append((fs, p))
+        return spark.read.schema(df.schema).parquet(path)
 
-def packed_id(col):
-    return F.coalesce(col.cast("long"), F.lit(NULL_ID))
+    def drop(self) -> None:
+        while self.held:
+            fs, p = self.held.pop()
+            fs.delete(p, True)
 
 
-def unpacked_id(col):
-    return F.when(col != NULL_ID, col)
+def stored(df: DataFrame) -> DataFrame:
+    """A table that stays until the application ends, for results that are read lazily."""
+    return Tables().stored(df)
 
 
 def fold(col: str = "doc_id", n: int = 4):

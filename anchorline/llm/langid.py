@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from anchorline.llm._common import fold, table
-from anchorline.llm.repeats import mix
+from anchorline.llm.chunks import mix
 
 U = np.uint64
 #: Bound of the labelled texts that the filters are made from.

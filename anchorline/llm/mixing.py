@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from anchorline.llm._common import WORD, count_words, cut, stored, table
+from anchorline.llm._common import WORD, count_words, stored, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Blocks of all sources together are at most BLOCKS plus one a source; sub-blocks of a block are SUB at most.
@@ -84,7 +84,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         raise ValueError("shards must be a power of two")
     sized = docs.select(F.col(id_col).alias("doc_id"), count_words(F.col(text_col)).alias("size"), F.col(source_col).alias("source"))
     sized = stored(sized.withColumn("_h", _hash(seed, "doc_id")))
-    targets = cut(with_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, ratio, most))
+    targets = stored(with_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, ratio, most))
     total = targets.agg(F.sum("source_size")).first()[0] or 0
     blocks_of = F.greatest(F.lit(1), F.ceil(F.lit(float(BLOCKS)) * F.col("source_size") / max(1, total))).cast("long")
     plan = targets.select(F.col("source").alias("_source"), "source_size", "target", blocks_of.alias("_n"))
@@ -94,7 +94,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     placed = placed.withColumn("block", F.pmod("_h", "_n")).withColumn("_sub", F.pmod(F.shiftrightunsigned("_h", 40), F.lit(SUB)))
     # the last pass, by blocks: one row a block
     blocks = placed.groupBy("source", "block").agg(F.sum("size").alias("words"), F.first("_rest").alias("_rest"), F.first("_passes").alias("_passes"))
-    blocks = cut(_fill(blocks, ["source"], [_hash(seed + 1, "source", "block"), F.col("block")], "_rest", "words"))
+    blocks = stored(_fill(blocks, ["source"], [_hash(seed + 1, "source", "block"), F.col("block")], "_rest", "words"))
     status = blocks.select(F.col("source").alias("_source"), F.col("block").alias("_block"), F.col("words").alias("_words"), F.col("got").alias("_got"))
     status = status.where("_got > 0")
     held = placed.join(status, _same("source", "_source") & (F.col("block") == F.col("_block")), "left").drop("_source", "_block")
@@ -102,7 +102,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # one block of each source is taken in part: by sub-blocks, then documents of one sub-block
     part = whole.where("_last is null")
     subs = part.groupBy("source", "_sub").agg(F.sum("size").alias("_w"), F.first("_got").alias("_need"))
-    subs = cut(_fill(subs, ["source"], [_hash(seed + 2, "source", "_sub"), F.col("_sub")], "_need", "_w"))
+    subs = stored(_fill(subs, ["source"], [_hash(seed + 2, "source", "_sub"), F.col("_sub")], "_need", "_w"))
     subs = subs.select(F.col("source").alias("_source"), F.col("_sub").alias("_sub2"), F.col("_w"), F.col("got").alias("_sub_got"))
     part = part.join(subs, _same("source", "_source") & (F.col("_sub") == F.col("_sub2"))).drop("_source", "_sub2")
     even = part.where("_sub_got in (0, _w)").withColumn("_last", F.when(F.col("_sub_got") > 0, F.col("size")).otherwise(0)).drop("_w", "_sub_got")
@@ -113,7 +113,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # drawn blocks, passes from 0; the partial pass is the last
     drawn = blocks.select("source", "block", F.explode(F.sequence(F.lit(0), F.col("_passes").cast("int"))).alias("pass"), "got", "_passes")
     drawn = drawn.where("pass < _passes or got > 0").select("source", "block", "pass")
-    leaf = cut(shards_of(drawn, shards.bit_length() - 1, seed + 11))
+    leaf = stored(shards_of(drawn, shards.bit_length() - 1, seed + 11))
     leaf = leaf.groupBy("source", "block").agg(F.map_from_entries(F.collect_list(F.struct("pass", "shard"))).alias("_shards"))
     leaf = leaf.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "_shards")
     taken = taken.join(leaf, _same("source", "_source") & (F.col("block") == F.col("_block")), "left").drop("_source", "_block")

@@ -5,10 +5,13 @@ learns an ordered list of rules for low quality: each is a conjunction of thresh
 the rows that are left by information gain, pruned on the last third, and kept only while it is precise
 there. The list becomes one ordered conditional expression that Spark evaluates.
 
-``BASE`` columns follow the operator's contract. Null text has no words. At most ``SAMPLE`` labelled rows are
-used, chosen by a hash of the id. Without labelled rows of both classes no rule is learned and only the base
-rule decides. Repeated rows are kept. Texts are read in bounded stretches of documents; repeats within one
-very long text are found by sorting its own windows.
+``BASE`` columns follow the operator's contract. Words are numbered by a dictionary and windows by doubling (the number
+of a window is that of its two halves), so equal numbers mean equal words: no hash decides. Null and empty texts have no
+words. At most ``SAMPLE`` labelled rows are used, chosen by a hash of the id. Without labelled rows of both classes no
+rule is learned and only the base rule decides. Repeated rows are kept; an id that is labelled twice counts once, as
+low if either label is; of rows with one labelled id the least statistics are learned from. An empty table gives an
+empty result. Texts are taken in groups of half a megabyte; a longer text is a group of its own, and needs about forty
+times its bytes in one worker. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,12 +21,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorline.llm import repeats as R
-from anchorline.llm._common import fold, packed_id, stored, table, unpacked_id
-from anchorline.llm.substring_dedup import word_names
+from anchorline.llm._common import fold, stored, table
+from anchorline.llm.chunks import window_numbers
 
-U = np.uint64
+#: Bound of the labelled rows that rules are learned from.
 SAMPLE = 20_000
+#: Bytes of texts counted together.
+PIECE = 1 << 19
 WINDOW = 8
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MORE = ["n_upper", "n_lower", "n_digits", "n_punct", "n_bytes", "n_lines", "n_distinct_words"]
@@ -57,7 +61,7 @@ def statistics(texts: list[bytes]) -> dict[str, np.ndarray]:
     out = {c: np.zeros(n, np.int64) for c in BASE + MORE}
     group, size = [], 0
     for i in range(n + 1):
-        if group and (i == n or size + len(texts[i]) > R.PIECE):
+        if group and (i == n or size + len(texts[i]) > PIECE):
             _statistics(texts[group[0] : group[-1] + 1], group[0], out)
             group, size = [], 0
         if i < n:
@@ -76,28 +80,19 @@ def _statistics(texts: list[bytes], at: int, out: dict[str, np.ndarray]) -> None
     out["n_bytes"][s] = sizes
     out["n_upper"][s], out["n_lower"][s], out["n_digits"][s], out["n_punct"][s], out["n_symbols"][s] = by[:, 1:6].T
     out["word_chars"][s] = sizes - by[:, 6] - by[:, 7]
-    names, words = word_names(texts)
+    seen: dict[bytes, int] = {}
+    numbers = [[seen.setdefault(w, len(seen)) for w in t.split()] for t in texts]
+    words = np.array([len(x) for x in numbers], np.int64)
     out["n_words"][s] = words
     owner = np.repeat(np.arange(n), words)
-    tag = R.mix(owner.astype(U))
-    out["n_distinct_words"][s] = np.bincount(_owners_of_distinct(names ^ tag, owner), minlength=n)
+    names = np.array([x for part in numbers for x in part], np.int64)
+    out["n_distinct_words"][s] = np.bincount(np.unique(owner * len(seen) + names) // max(1, len(seen)), minlength=n)
     if len(names) >= WINDOW:
         starts = np.arange(len(names) - WINDOW + 1)
-        inside = owner[starts] == owner[starts + WINDOW - 1]
-        starts = starts[inside]
-        h = np.empty(len(starts), U)
-        for a in range(0, len(names), R.PIECE):
-            lo, hi = np.searchsorted(starts, [a, a + R.PIECE])
-            if lo < hi:
-                sums = R.prefix(names[a : a + R.PIECE + WINDOW - 1])
-                h[lo:hi] = R.name(sums, starts[lo:hi] - a, WINDOW)
-        h ^= tag[starts]
-        order = np.argsort(h)
-        g = h[order]
-        same = np.zeros(len(g), bool)
-        same[1:] = g[1:] == g[:-1]
-        same[:-1] |= same[1:].copy()
-        first = starts[order[same]]
+        starts = starts[owner[starts] == owner[starts + WINDOW - 1]]
+        g = owner[starts] * (len(names) + 1) + window_numbers(names, WINDOW)[starts]
+        _, of, count = np.unique(g, return_inverse=True, return_counts=True)
+        first = starts[count[of] > 1]
         diff = np.bincount(first, minlength=len(names) + 1) - np.bincount(first + WINDOW, minlength=len(names) + 1)
         out["n_repeat_words"][s] = np.bincount(owner[np.cumsum(diff[:-1]) > 0], minlength=n)
     for i, t in enumerate(texts):
@@ -106,24 +101,15 @@ def _statistics(texts: list[bytes], at: int, out: dict[str, np.ndarray]) -> None
         out["n_dup_lines"][at + i] = len(lines) - len(set(lines))
 
 
-def _owners_of_distinct(h: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    order = np.argsort(h)
-    g = h[order]
-    new = np.ones(len(g), bool)
-    new[1:] = g[1:] != g[:-1]
-    return owner[order[new]]
-
-
 def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and the counts of each text."""
 
-    def run(batches):
-        for pdf in batches:
-            got = statistics(list(pdf["_text"]))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], **got})
+    @F.pandas_udf(", ".join(f"{c} long" for c in BASE + MORE))
+    def count(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(statistics(list(texts)))
 
-    docs = docs.select(packed_id(F.col(id_col)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
-    return docs.mapInPandas(run, ", ".join(["doc_id long", *[f"{c} long" for c in BASE + MORE]])).withColumn("doc_id", unpacked_id(F.col("doc_id")))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), count(text).alias("_s")).select("doc_id", "_s.*")
 
 
 def features() -> dict[str, Column]:
@@ -212,7 +198,9 @@ def train(stats: DataFrame, labels: DataFrame, label: str = "quality", sample: i
     total = known.count()
     if total > sample:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * (sample / total)))
-    got = stats.join(known, "doc_id").select("doc_id", "label", *[v.alias(k) for k, v in features().items()]).toPandas()
+    once = stats.join(F.broadcast(known), "doc_id")  # ``sample`` ids and labels
+    once = once.groupBy("doc_id", "label").agg(F.min(F.struct(*BASE, *MORE)).alias("_s")).select("doc_id", "label", "_s.*")
+    got = once.select("doc_id", "label", *[v.alias(k) for k, v in features().items()]).toPandas()
     got = got.sort_values(["doc_id", *FEATURES]).reset_index(drop=True)
     got = got.iloc[np.random.default_rng(9).permutation(len(got))].reset_index(drop=True)
     return learn(got, got["label"].to_numpy() == 0) if len(got) else []
@@ -229,3 +217,25 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = stored(with_statistics(docs))
     rules = train(stats, table(spark, sf_dir, "labels"))
     return judge(stats, rules).select("doc_id", *BASE, "base_failed", "kept", "rule")
+
+
+def base_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the operator does not depend on learning, as SQL can express it."""
+    stats = with_statistics(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judge(stats, []).select("doc_id", *BASE, "base_failed")
+
+
+BASE_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, q, array_to_string(w[q:q + 7], ' ') AS s FROM d, LATERAL unnest(range(1, CAST(greatest(len(w) - 6, 1) AS BIGINT))) AS u(q)),
+twice AS (SELECT doc_id, q FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+covered AS (SELECT doc_id, count(DISTINCT q + j) AS n FROM twice, LATERAL unnest(range(0, 8)) AS u(j) GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base
+"""

@@ -13,6 +13,7 @@ QUERIES = {
     "op8_toxicity": toxicity.query,
     "op9_quality_rules": quality.query,
     "op10_pieces": pieces.query,
+    "quality_base": quality.base_query,
 }
 #: DuckDB text where SQL expresses the operator; the others are tested against brute force.
-ORACLE = {"op2_url_filters": urlfilter.SQL}
+ORACLE = {"op2_url_filters": urlfilter.SQL, "op5_suffix_dedup": suffix_dedup.SQL, "op6_substring_dedup": substring_dedup.SQL, "quality_base": quality.BASE_SQL}

@@ -10,7 +10,10 @@ Only a spanning forest of the links leaves a task, never all pairs. Components f
 small-star rounds, which keep hot stars in partial aggregates and splittable joins.
 
 Null text counts as empty; empty texts have fingerprint zero and link as any other. Repeated rows are kept.
-A component whose doc_ids are all null has a null id.
+A component whose doc_ids are all null has a null id. An empty table gives an empty result. A text is hashed in one
+worker, in stretches of 65,536 shingles, whatever its length. Other columns are not read, whatever their names. A task
+holds a stretch of sorted fingerprints, and whole groups of equal 28-bit heads: some 75 fingerprints at 2 * 10^10
+documents with even heads; equal fingerprints are merged before, so copies do not make a group larger.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorline.llm._common import cut, packed_id, stored, table, unpacked_id
+from anchorline.llm._common import Tables, stored, table
 
 U = np.uint64
 BITS = 3
@@ -49,20 +52,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the fingerprint as a signed long."""
-
-    def run(batches):
-        for pdf in batches:
-            fp = np.array([fingerprint(t or b"") for t in pdf["_text"]], U).view(np.int64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fp})
-
-    docs = docs.select(packed_id(F.col(id_col)).alias("doc_id"), F.col(text_col).cast("binary").alias("_text"))
-    return docs.mapInPandas(run, "doc_id long, fp long").withColumn("doc_id", unpacked_id(F.col("doc_id")))
-
-
 def fingerprint_of(text: Column) -> Column:
-    """The fingerprint of a text column as a signed long, for few rows beside their other columns."""
+    """The fingerprint of a text column as a signed long; only texts go to Python."""
 
     @F.pandas_udf("long")
     def run(texts: pd.Series) -> pd.Series:
@@ -71,6 +62,11 @@ def fingerprint_of(text: Column) -> Column:
     return run(text.cast("binary"))
 
 
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and the fingerprint as a signed long."""
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), fingerprint_of(F.col(f"`{text_col}`")).alias("fp"))
+
+
 def gray_rank(x: np.ndarray) -> np.ndarray:
     """Position of each code word in the reflected Gray order."""
     for s in (1, 2, 4, 8, 16, 32):
@@ -167,20 +163,41 @@ def _union(comp: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             comp = up
 
 
+#: Rows of a sorted partition that are indexed together, and whole groups beyond.
+SLAB = 1 << 17
+
+
+def _slabs(batches):
+    """Sorted rows in stretches that end between groups, so that a task holds one stretch and not its partition."""
+    held, n = [], 0
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        held.append(pdf)
+        n += len(pdf)
+        if n < SLAB:
+            continue
+        all_ = pd.concat(held, ignore_index=True) if len(held) > 1 else pdf
+        t, k = all_["t"].to_numpy(), all_["k"].to_numpy()
+        at = int(np.flatnonzero((t != t[-1]) | (k != k[-1]))[-1]) + 1 if (t[0], k[0]) != (t[-1], k[-1]) else 0
+        if at:
+            yield all_.iloc[:at]
+        held, n = [all_.iloc[at:]], len(all_) - at
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _forest(bits: int):
     def run(batches):
-        held = [b for b in batches if len(b)]
-        if not held:
-            return
-        pdf = pd.concat(held, ignore_index=True)
-        for t, part in pdf.groupby("t"):
-            fp = part["fp"].to_numpy().view(U)
-            code = places(fp)[int(t)]
-            order = np.argsort(gray_rank(code), kind="stable")
-            comp = GrayIndex(code[order]).components(bits, ((1 << 28) - 1) << 36)
-            fp = fp[order].view(np.int64)
-            linked = comp != np.arange(len(comp))
-            yield pd.DataFrame({"a": fp[linked], "b": fp[comp[linked]]})
+        for pdf in _slabs(batches):
+            for t, part in pdf.groupby("t"):
+                fp = part["fp"].to_numpy().view(U)
+                code = places(fp)[int(t)]
+                order = np.argsort(gray_rank(code), kind="stable")
+                comp = GrayIndex(code[order]).components(bits, ((1 << 28) - 1) << 36)
+                fp = fp[order].view(np.int64)
+                linked = comp != np.arange(len(comp))
+                yield pd.DataFrame({"a": fp[linked], "b": fp[comp[linked]]})
 
     return run
 
@@ -197,22 +214,28 @@ def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     if not 0 <= bits <= 3:
         raise ValueError("four blocks of four parts find up to three differing bits")
     placed = distinct.select("fp").mapInPandas(_placed, "t int, k long, fp long")
-    return placed.repartition("t", "k").mapInPandas(_forest(bits), "a long, b long").distinct()
+    return placed.repartition("t", "k").sortWithinPartitions("t", "k").mapInPandas(_forest(bits), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(a, root) of every linked node but the roots, by alternating large-star and small-star."""
-    edges = cut(edges.select("a", "b").where("a <> b").distinct())
+    now = Tables()
+    edges = now.stored(edges.select("a", "b").where("a <> b").distinct())
     before = None
     while True:
+        next_ = Tables()
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = cut(large.where("a <> b").distinct())
+        between = Tables()
+        large = between.stored(large.where("a <> b").distinct())
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = cut(small.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
+        edges = next_.stored(small.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
+        between.drop()
+        now.drop()
+        now = next_
         sign = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if sign == before:
             return edges.select("a", F.col("b").alias("root"))
@@ -227,11 +250,11 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bit
     named = distinct.join(roots.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = named.where("root <> fp").groupBy("root").agg(F.min("least").alias("below"))
     top = named.join(least.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root"), "left")
-    label = cut(top.select("fp", F.col("root"), "least", "below"))
+    label = stored(top.select("fp", F.col("root"), "least", "below"))
     # a root's own least is in its own row only: bring it to its members
     own = label.where("fp = root").select(F.col("root").alias("_root"), F.least("least", "below").alias("component_id"))
     members = label.where("fp <> root").join(own, F.col("root") == F.col("_root")).select("fp", "root", "component_id")
-    label = cut(members.union(label.where("fp = root").select("fp", "root", F.least("least", "below").alias("component_id"))))
+    label = stored(members.union(label.where("fp = root").select("fp", "root", F.least("least", "below").alias("component_id"))))
     return fps.join(label, "fp").select("doc_id", "fp", "root", "component_id")
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorline.llm._common import cut, table
+from anchorline.llm._common import stored, table
 
 #: Bits of a block, of the largest filter (8 MB: what bounds the broadcast), and those set for a rule.
 BLOCK, MOST_BLOCKS, PROBES, BITS_PER_RULE = 512, 1 << 17, 6, 12
@@ -72,7 +72,7 @@ def canonical(rules: DataFrame) -> DataFrame:
 
 def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule (null if none fits) and verdict."""
-    rules = cut(canonical(rules))
+    rules = stored(canonical(rules))
     filter_, blocks = bloom(rules)
     # no more of either than urls are long
     lengths = [r[0] for r in rules.select("_len").distinct().collect()]

@@ -269,12 +269,21 @@ def test_statistics(spark, monkeypatch):
     got = quality.with_statistics(df).collect()
     for x, (i, t) in zip(got, rows):
         assert x.doc_id == i and {k: x[k] for k in brute_stats(t)} == brute_stats(t)
-    monkeypatch.setattr(quality.R, "PIECE", 50)
+    monkeypatch.setattr(quality, "PIECE", 50)
     for t in texts:
         assert {k: v[0] for k, v in quality.statistics([t.encode()]).items() if k in brute_stats(t)} == brute_stats(t)
     assert quality.with_statistics(df.limit(0)).count() == 0
 
 
+def test_words_of_equal_polynomial_hash_are_not_repeats():
+    x = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    y = x.translate(str.maketrans("ab", "ba"))
+    w = list("cdefghi")
+    text = " ".join([*w[:4], x, *w[4:6], "j", "k", "l", "m", *w[:4], y, *w[4:6], "n"])
+    got = quality.statistics([text.encode()])
+    assert got["n_words"][0] == 19 and got["n_repeat_words"][0] == 0 and got["n_distinct_words"][0] == 13
+
+
 def test_quality_held_out(spark):
     out = quality.query(spark, "/root/testdata/sf0.1").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
     held = out.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)

@@ -3,10 +3,11 @@
 import hashlib
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 
-from anchorline.llm import repeats
+from anchorline.llm import chunks, substring_dedup as s6, suffix_dedup as s5
 from anchorline.llm.substring_dedup import substring_dedup, substring_dedup_docs
 from anchorline.llm.suffix_dedup import suffix_dedup, suffix_dedup_text
 
@@ -77,33 +78,100 @@ def test_matches_brute_force(spark, seed, monkeypatch):
     assert sorted(got, key=key) == sorted(brute_words(rows), key=key)
 
 
-@pytest.mark.parametrize("wide,piece", [(1, 1 << 19), (64, 97), (2, 61)])
-def test_small_pieces_and_wide_keys(wide, piece, monkeypatch):
-    """The same without Spark, over several chunks, with pieces that cut documents and keys that go by windows alone."""
-    from anchorline.llm import substring_dedup as s6
-    from anchorline.llm import suffix_dedup as s5
-
-    monkeypatch.setattr(repeats, "WIDE", wide)
-    monkeypatch.setattr(repeats, "PIECE", piece)
+def off_spark(rows, chunks_of=4, n=3):
+    """Both operators without Spark, over several chunks and buckets: rows of each, as the queries give them."""
+    cat = lambda fs: pd.concat(list(fs), ignore_index=True)
+    frame = lambda part: pd.DataFrame({"doc_id": pd.Series([r[0] or 0 for r in part], dtype="int64"), "_null": [r[0] is None for r in part], "_text": [(r[1] or "").encode() for r in part]})
+    parts = [frame(rows[c::chunks_of]) for c in range(chunks_of)]
+    got = lambda told, c: {(s, b): x for d, s, b, x in told.itertuples(index=False) if d == c}
+    settled = lambda fn, sent: cat([fn(g) for _, g in sent.groupby("_bucket")] or [pd.DataFrame([], columns=["_chunk", "stage", "_bucket", "codes"])])
+    tidy = lambda out: [(None if r[1] else r[0], *r[2:]) for r in out.itertuples(index=False)]
+    state = [s5._condense(p) for p in parts]
+    told = settled(chunks.shared_keys(0), cat(s5._ask_keys(50, n)(c, s, {}) for c, s in enumerate(state)))
+    sent = cat(s5._send_texts(50, n)(c, s, got(told, c)) for c, s in enumerate(state))
+    told = cat([told, settled(s5.settle(50), sent)])
+    first = tidy(cat(s5._finish(50, n, s5._digest)(c, s, got(told, c)) for c, s in enumerate(state)))
+    state = [s6.condense(p) for p in parts]
+    told = settled(s6.name_words, cat(s6._ask_words(35, n)(c, s, {}) for c, s in enumerate(state)))
+    for r in (1, 2, 3):
+        asked = cat(s6._ask_blocks(35, n, r)(c, s, got(told, c)) for c, s in enumerate(state))
+        told = cat([told, settled(s6.name_blocks(r), asked)])
+    told = cat([told, settled(chunks.shared_keys(s6.REVEAL), cat(s6._ask_pairs(35, n, 3)(c, s, got(told, c)) for c, s in enumerate(state)))])
+    sent = cat(s6._send_contents(35, n, 3)(c, s, got(told, c)) for c, s in enumerate(state))
+    told = cat([told, settled(s6.settle(35), sent)])
+    return first, tidy(cat(s6._finish(35, n, 3, s6._digest)(c, s, got(told, c)) for c, s in enumerate(state)))
+
+
+@pytest.mark.parametrize("hot,piece", [(1, 1 << 19), (1 << 16, 97), (3, 61)])
+def test_small_pieces_and_hot_keys(hot, piece, monkeypatch):
+    """Several chunks, pieces that cut documents, and keys that go by single windows."""
+    monkeypatch.setattr(chunks, "HOT", hot)
+    monkeypatch.setattr(chunks, "PIECE", piece)
     rows = corpus(7)
-    for mod, any_, w, brute in ((s5, False, 50, brute_bytes), (s6, True, 35, brute_words)):
-        chunk_of = mod._chunk(w)
-        n = 3
-        chunks = [repeats.ordered(pd.DataFrame({"doc_id": pd.Series([repeats.NULL_ID if r[0] is None else r[0] for r in rows[c::4]], dtype="int64"), "_text": [(r[1] or "").encode() for r in rows[c::4]], "_chunk": c})) for c in range(4)]
-        cat = lambda fs: pd.concat(list(fs), ignore_index=True)
-        sent = cat(repeats._first_pass(chunk_of, any_, n)(c) for c in chunks)
-        told = cat(repeats.settle_slices(any_)(g) for _, g in sent.groupby("_bucket"))
-        asked = cat(repeats._second_pass(chunk_of, any_, n)(c, told[told._chunk == c._chunk.iloc[0]]) for c in chunks)
-        shown = cat([repeats.settle_windows(any_)(g) for _, g in asked.groupby("_bucket")] or [told[:0]])
-        all_ = cat([told, shown])
-        got = []
-        for c in (c.sample(frac=1, random_state=1) for c in chunks):
-            c = repeats.ordered(c)
-            x = chunk_of(c)
-            out = mod._finish(c, x, repeats.covered(x, all_[all_._chunk == c._chunk.iloc[0]], any_, n))
-            got += [(None if r[0] == repeats.NULL_ID else r[0], *r[1:]) for r in out.itertuples(index=False)]
-        key = lambda x: tuple((y is None, y) for y in x)
-        assert sorted(got, key=key) == sorted(brute(rows), key=key)
+    key = lambda x: tuple((y is None, y) for y in x)
+    for got, want in zip(off_spark(rows), (brute_bytes(rows), brute_words(rows))):
+        assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def thue(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_of_equal_polynomial_hash_are_different(spark):
+    """A long word and its complement share sums modulo 2**64 under any odd base; nothing is removed for that."""
+    x, y = thue(1024), thue(1024).translate(str.maketrans("ab", "ba"))
+    words = [f"w{i}" for i in range(40)]
+    a, b = ([*words[:20], z, *words[20:]] for z in (x, y))
+    rows = [(1, " ".join(a)), (2, " ".join(b))]
+    got = sorted(tuple(r) for r in substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted(brute_words(rows)) and [r[2] for r in got] == [0, 0]
+
+
+def test_ids_at_the_ends_of_their_range(spark):
+    big = (1 << 63) - 1
+    p = "abcdefghij" * 6
+    rows = [(big, p + "1"), (None, p + "2"), (-(1 << 63), "x" + p), (0, "y" + p)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda x: tuple((y is None, y) for y in x)
+    assert sorted(map(tuple, suffix_dedup(df).collect()), key=key) == sorted(brute_bytes(rows), key=key)
+    assert sorted(map(tuple, substring_dedup(df).collect()), key=key) == sorted(brute_words(rows), key=key)
+    rows = [(big, p), (None, p)]
+    assert {r.doc_id: r.n_removed for r in suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {big: 0, None: 60}
+
+
+def test_long_texts(spark):
+    """Texts beyond a chunk, with repeats inside and between them."""
+    r = random.Random(3)
+    prose = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(n))
+    p = prose(400)
+    rows = [(1, prose(30_000) + " " + p), (2, p + " " + prose(20_000) + " " + p), (3, prose(50))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, suffix_dedup(df).collect())) == sorted(brute_bytes(rows))
+    assert sorted(map(tuple, substring_dedup(df).collect())) == sorted(brute_words(rows))
+
+
+def test_longest_previous_factors():
+    """Values, not only whether they reach the window, against all pairs."""
+    r = random.Random(5)
+    docs = ["".join(r.choice("ab") for _ in range(r.randint(0, 40))) for _ in range(12)]
+    text = "".join(docs).encode()
+    doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    depth, starts = 8, np.arange(len(text) - 8 + 1)
+    order, lcp = s5.suffix_order(np.frombuffer(text, np.uint8), starts, depth)
+    got = dict(zip(starts[order].tolist(), s5.longest_previous_factor(lcp, doc[starts[order]]).tolist()))
+    for i in starts.tolist():
+        common = [next((k for k in range(depth) if text[i + k] != text[j + k]), depth) for j in starts.tolist() if doc[j] < doc[i]]
+        assert got[i] == max(common, default=0)
+
+
+def test_names_are_global():
+    """Names differ where contents differ, are equal where they are equal in two chunks, and are missing where nothing repeats."""
+    rows = [(1, "a b c d e f g h"), (2, "z a b c d e f g y")]
+    state = [s6.condense(pd.DataFrame({"doc_id": [i], "_null": [False], "_text": [t.encode()]})) for i, t in rows]
+    told = pd.concat([s6.name_words(g) for _, g in pd.concat([s6._ask_words(35, 2)(c, s, {}) for c, s in enumerate(state)]).groupby("_bucket")])
+    got = [{(s, b): x for d, s, b, x in told.itertuples(index=False) if d == c} for c in range(2)]
+    one, two = (s6.Words(s, 35, 2, g, 0).names for s, g in zip(state, got))
+    assert one[:7].tolist() == two[1:8].tolist() and len(set(one[:7].tolist())) == 7 and one[7] == two[0] == two[8] == 0
 
 
 def test_empty_and_documents(spark):

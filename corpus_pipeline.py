@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from anchorline.llm import langid, mixing, pieces, simhash, substring_dedup
-from anchorline.llm._common import release, stored
+from anchorline.llm._common import Tables
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,6 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release()
     found = simhash.grouped(docs)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     # ids that occur more than once (a row without id is left alone)
@@ -46,17 +45,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release()
     return substring_dedup.substring_dedup_docs(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release()
     return mixing.mixed_documents(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release()
     return pieces.encode(docs)
 
 
@@ -72,10 +68,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        # ``release`` at the start of a stage deletes what was stored before it, not the table it reads
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stored(docs, keep=True)
-    return docs
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), Tables()
+    for _, stage in STAGES[:-1]:
+        now = Tables()
+        docs = now.stored(stage(spark, docs, sf_dir))
+        before.drop()  # the next stage reads only what this one wrote
+        before = now
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -87,7 +87,7 @@ def packed(docs: DataFrame, condense: Callable, chunk_bytes: int = CHUNK_BYTES)
                 n += 1
 
     flat = docs.withColumn("_null", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)).cast("long"))
-    return flat.mapInPandas(run, "_chunk long, pack binary").repartition("_chunk")
+    return flat.mapInPandas(run, "_chunk long, pack binary")
 
 
 def sizes(total: int, chunk_bytes: int = CHUNK_BYTES) -> int:
@@ -99,16 +99,79 @@ def each(state: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return state.groupBy("_chunk").applyInPandas(lambda pdf: fn(int(pdf["_chunk"].iloc[0]), thaw(pdf["pack"].iloc[0]), {}), schema)
 
 
-def with_replies(state: DataFrame, replies: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """fn(chunk, state, {(stage, bucket): codes}) for each chunk."""
+def mail(told: DataFrame) -> DataFrame:
+    """Replies of one stage, one row a chunk: their exchange is made once, whatever the number of passes that read it."""
+    return told.groupBy("_chunk").agg(F.collect_list(F.struct("stage", "_bucket", "codes")).alias("_mail"))
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left):
-            return fn(None, None, {})
-        got = {(s, b): c for s, b, c in zip(right["stage"], right["_bucket"], right["codes"], strict=True)} if len(right) else {}
-        return fn(int(left["_chunk"].iloc[0]), thaw(left["pack"].iloc[0]), got)
 
-    return state.groupBy("_chunk").cogroup(replies.groupBy("_chunk")).applyInPandas(run, schema)
+def with_replies(state: DataFrame, mails: list[DataFrame], fn: Callable, schema: str) -> DataFrame:
+    """fn(chunk, state, {(stage, bucket): codes}) for each chunk; both sides are dealt by chunk already."""
+    names = [f"_m{i}" for i in range(len(mails))]
+    for name, m in zip(names, mails, strict=True):
+        state = state.join(m.withColumnRenamed("_mail", name).hint("merge"), "_chunk", "left")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        row = pdf.iloc[0]
+        got = {(m["stage"], m["_bucket"]): m["codes"] for name in names if row[name] is not None for m in row[name]}
+        return fn(int(row["_chunk"]), thaw(row["pack"]), got)
+
+    return state.groupBy("_chunk").applyInPandas(run, schema)
+
+
+#: Bytes of texts in one partition of ``Rounds``, and most partitions.
+PART_BYTES, MOST_PARTS = 16 << 20, 100_000
+
+
+def _place(key: int) -> int:
+    """Where a chunk or bucket lies (one function object, so that all of one side lie alike)."""
+    return (key >> 32) * 31 + (key & 0xFFFFFFFF)
+
+
+class Rounds:
+    """Questions and replies over many rounds, each of which needs the replies of all before.
+
+    As one tree of frames this would double with every round, and as a job a round it would deal the chunks out again
+    each time. Shuffles of RDDs are kept instead: chunks and the replies of each round are dealt out once, by chunk,
+    and every later round reads them where they lie; what an executor loses is made again from its lineage.
+    """
+
+    def __init__(self, state: DataFrame, total: int):
+        self.spark = state.sparkSession
+        self.parts = int(np.clip(-(-total // PART_BYTES), 8, MOST_PARTS))
+        self.state = state.rdd.map(tuple).partitionBy(self.parts, _place)
+        self.told: list = []
+
+    def each(self, fn: Callable):
+        """Rows of fn(chunk, state, {(stage, bucket): codes}), a frame, for each chunk."""
+
+        def run(rows):
+            mail: dict[int, dict] = {}
+            for chunk, x in rows:  # replies come before chunks
+                if isinstance(x, tuple):
+                    mail.setdefault(chunk, {})[x[0], x[1]] = x[2]
+                else:
+                    yield from fn(chunk, thaw(x), mail.pop(chunk, {})).itertuples(index=False, name=None)
+
+        together = self.spark.sparkContext.union([*self.told, self.state])
+        assert together.getNumPartitions() == self.parts
+        return together.mapPartitions(run)
+
+    def ask(self, fn: Callable, columns: list[str], settle: Callable) -> None:
+        """fn: rows (bucket, chunk, ...) of each chunk; settle: replies of one bucket to its rows."""
+
+        def settled(rows):
+            held: dict[int, list] = {}
+            for b, row in rows:
+                held.setdefault(b, []).append((b, *row))
+            for b in list(held):
+                for chunk, stage, b_, codes in settle(pd.DataFrame(held.pop(b), columns=columns)).itertuples(index=False, name=None):
+                    yield chunk, (stage, b_, codes)
+
+        asked = self.each(fn).map(lambda r: (r[0], r[1:])).partitionBy(self.parts, _place)
+        self.told.append(asked.mapPartitions(settled).partitionBy(self.parts, _place))
+
+    def finish(self, fn: Callable, schema: str) -> DataFrame:
+        return self.spark.createDataFrame(self.each(fn), schema, verifySchema=False)
 
 
 def by_bucket(bucket: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -188,8 +251,9 @@ class Slices:
             (b, chunk, (uniq[i] // U(n)).astype("<u4").tobytes(), np.minimum(count[i], HOT + 1).astype("<u4").tobytes(), np.packbits(flag[i]).tobytes())
             for b, i in by_bucket((uniq % U(n)).astype(np.int64))
         ]
-        return pd.DataFrame(rows, columns=["_bucket", "_chunk", "k", "c", "f"])
+        return pd.DataFrame(rows, columns=self.COLUMNS)
 
+    COLUMNS = ["_bucket", "_chunk", "k", "c", "f"]
     KEYS = "_bucket long, _chunk long, k binary, c binary, f binary"
 
     def units(self, got: dict, n: int, stage: int):

@@ -43,7 +43,7 @@ REVEAL, VERIFY = 100, 101
 
 # -- global names ----------------------------------------------------------------------------------------------------
 
-NAMES = "_bucket long, _chunk long, size long, block binary, often binary"
+NAMES = ["_bucket", "_chunk", "size", "block", "often"]
 
 
 def name_words(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -241,47 +241,40 @@ def _ask_words(width, n):
         w = Words(state, width, n, got, None)
         often = np.bincount(state[3], minlength=len(w.words)) > 1
         rows = [(b, chunk, len(i), b"\n".join([w.words[j] for j in i.tolist()]), np.packbits(often[i]).tobytes()) for b, i in C.by_bucket(w.bucket)]
-        return pd.DataFrame(rows, columns=["_bucket", "_chunk", "size", "block", "often"])
+        return pd.DataFrame(rows, columns=NAMES)
 
     return run
 
 
 def _ask_blocks(width, n, round_):
     def run(chunk, state, got):
-        if state is None:
-            return pd.DataFrame([], columns=["_bucket", "_chunk", "size", "block", "often"])
         w = Words(state, width, n, got, round_ - 1)
         found, of = _distinct(w.parse.blocks(round_)[2])
         often = np.bincount(of, minlength=found.shape[1]) > 1
         rows = [(b, chunk, len(i), C.planes(found[:, i].ravel()), np.packbits(often[i]).tobytes()) for b, i in C.by_bucket(_bucket_of(found, n))]
-        return pd.DataFrame(rows, columns=["_bucket", "_chunk", "size", "block", "often"])
+        return pd.DataFrame(rows, columns=NAMES)
 
     return run
 
 
 def _ask_pairs(width, n, rounds):
     def run(chunk, state, got):
-        if state is None:
-            return pd.DataFrame([], columns=["_bucket", "_chunk", "k", "c", "f"])
         return Words(state, width, n, got, rounds).slices().send_keys(chunk, n, lambda of, k: np.bincount(of, minlength=k) > 1)
 
     return run
 
 
-CONTENTS = "_bucket long, _chunk long, names binary, size binary, key binary, times binary"
+CONTENTS = ["_bucket", "_chunk", "names", "size", "key", "times"]
 
 
 def _send_contents(width, n, rounds):
     def run(chunk, state, got):
-        cols = ["_bucket", "_chunk", "names", "size", "key", "times"]
-        if state is None:
-            return pd.DataFrame([], columns=cols)
         _, _, contents, times, bucket, key, m, _ = Words(state, width, n, got, rounds).entries(got)
         rows = []
         for b, i in C.by_bucket(bucket):
             names = np.frombuffer(b"".join([contents[j] for j in i.tolist()]), U)
             rows.append((b, chunk, C.planes(names), m[i].astype("u1").tobytes(), key[i].astype("<u4").tobytes(), np.minimum(times[i], 2).astype("u1").tobytes()))
-        return pd.DataFrame(rows, columns=cols)
+        return pd.DataFrame(rows, columns=CONTENTS)
 
     return run
 
@@ -325,8 +318,6 @@ def settle(width: int):
 
 def _finish(width, n, rounds, report):
     def run(chunk, state, got):
-        if state is None:
-            return report(None, None, None)
         w = Words(state, width, n, got, rounds)
         s, (q, m), _, _, bucket, _, _, entry = w.entries(got)
         masks = C.answers(got, VERIFY, bucket, "<u8")[entry]
@@ -343,28 +334,26 @@ def _kept_words(state, s, gone):
 
 
 def _digest(state, s, gone) -> pd.DataFrame:
-    rows = [] if state is None else [(i, null, n, k, hashlib.sha256(t).hexdigest()) for i, null, (n, k, t) in zip(state[0].tolist(), state[1].tolist(), _kept_words(state, s, gone), strict=True)]
+    rows = [(i, null, n, k, hashlib.sha256(t).hexdigest()) for i, null, (n, k, t) in zip(state[0].tolist(), state[1].tolist(), _kept_words(state, s, gone), strict=True)]
     return pd.DataFrame(rows, columns=["doc_id", "_null", "n_words", "n_removed", "kept_sha256"])
 
 
 def _documents(state, s, gone) -> pd.DataFrame:
-    rows = [] if state is None else [(j, None if none else t if k else text) for j, none, text, (_, k, t) in zip(*state[5:8], _kept_words(state, s, gone), strict=True)]
+    rows = [(j, None if none else t if k else text) for j, none, text, (_, k, t) in zip(*state[5:8], _kept_words(state, s, gone), strict=True)]
     return pd.DataFrame(rows, columns=["_json", "_kept"])
 
 
 def _removed(docs: DataFrame, width: int, rounds: int, report, schema: str) -> DataFrame:
     """docs: doc_id, binary ``_text`` and what ``report`` passes on."""
-    n = C.sizes(C.text_bytes(docs))
-    state = C.packed(docs, condense)
-    told = C.each(state, _ask_words(width, n), NAMES).groupBy("_bucket").applyInPandas(name_words, C.REPLY)
+    total = C.text_bytes(docs)
+    n = C.sizes(total)
+    rounds_ = C.Rounds(C.packed(docs, condense), total)
+    rounds_.ask(_ask_words(width, n), NAMES, name_words)
     for r in range(1, rounds + 1):
-        asked = C.with_replies(state, told, _ask_blocks(width, n, r), NAMES)
-        told = told.unionByName(asked.groupBy("_bucket").applyInPandas(name_blocks(r), C.REPLY))
-    asked = C.with_replies(state, told, _ask_pairs(width, n, rounds), C.Slices.KEYS)
-    told = told.unionByName(asked.groupBy("_bucket").applyInPandas(C.shared_keys(REVEAL), C.REPLY))
-    sent = C.with_replies(state, told, _send_contents(width, n, rounds), CONTENTS)
-    told = told.unionByName(sent.groupBy("_bucket").applyInPandas(settle(width), C.REPLY))
-    return C.with_replies(state, told, _finish(width, n, rounds, report), schema)
+        rounds_.ask(_ask_blocks(width, n, r), NAMES, name_blocks(r))
+    rounds_.ask(_ask_pairs(width, n, rounds), C.Slices.COLUMNS, C.shared_keys(REVEAL))
+    rounds_.ask(_send_contents(width, n, rounds), CONTENTS, settle(width))
+    return rounds_.finish(_finish(width, n, rounds, report), schema)
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:

@@ -210,8 +210,6 @@ TEXTS = "_bucket long, _chunk long, text binary, size binary, id binary, null bi
 
 def _send_texts(width, n):
     def run(chunk, state, got):
-        if state is None:
-            return pd.DataFrame([], columns=["_bucket", "_chunk", "text", "size", "id", "null"])
         x = Texts(state, width)
         _, contents, least, bucket, m, _ = x.entries(got, n)
         row = x.of_rank[least]
@@ -273,8 +271,6 @@ def settle(width: int):
 
 def _finish(width, n, report):
     def run(chunk, state, got):
-        if state is None:
-            return report(None, None)
         x = Texts(state, width)
         (q, m, doc), _, least, bucket, _, entry = x.entries(got, n)
         masks = C.answers(got, 1, bucket, "<u8")[entry]
@@ -287,30 +283,29 @@ def _finish(width, n, report):
 
 def _digest(x, gone) -> pd.DataFrame:
     rows = []
-    if x is not None:
-        for i, null, a, b in zip(x.ids.tolist(), x.null.tolist(), x.slices.starts.tolist(), x.slices.ends.tolist(), strict=True):
-            g = gone[a:b]
-            n = int(np.count_nonzero(g))
-            runs = int(g[0]) + int(np.count_nonzero(g[1:] & ~g[:-1])) if n else 0
-            kept = x.data[a:b][~g].tobytes() if n else x.text[a:b]
-            rows.append((i, null, b - a, n, runs, hashlib.sha256(kept).hexdigest()))
+    for i, null, a, b in zip(x.ids.tolist(), x.null.tolist(), x.slices.starts.tolist(), x.slices.ends.tolist(), strict=True):
+        g = gone[a:b]
+        n = int(np.count_nonzero(g))
+        runs = int(g[0]) + int(np.count_nonzero(g[1:] & ~g[:-1])) if n else 0
+        kept = x.data[a:b][~g].tobytes() if n else x.text[a:b]
+        rows.append((i, null, b - a, n, runs, hashlib.sha256(kept).hexdigest()))
     return pd.DataFrame(rows, columns=["doc_id", "_null", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def _kept(x, gone) -> pd.DataFrame:
-    kept = [] if x is None else [x.data[a:b][~gone[a:b]].tobytes() for a, b in zip(x.slices.starts, x.slices.ends, strict=True)]
-    return pd.DataFrame({"doc_id": [] if x is None else x.ids, "_null": [] if x is None else x.null, "kept": kept})
+    kept = [x.data[a:b][~gone[a:b]].tobytes() for a, b in zip(x.slices.starts, x.slices.ends, strict=True)]
+    return pd.DataFrame({"doc_id": x.ids, "_null": x.null, "kept": kept})
 
 
 def _removed(docs: DataFrame, id_col: str, text_col: str, width: int, report, schema: str) -> DataFrame:
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("_text"))
     n = C.sizes(C.text_bytes(docs))
-    state = C.packed(docs, _condense)
+    state = C.packed(docs, _condense).repartition("_chunk")
     asked = C.each(state, _ask_keys(width, n), C.Slices.KEYS)
-    shared = asked.groupBy("_bucket").applyInPandas(C.shared_keys(0), C.REPLY)
-    sent = C.with_replies(state, shared, _send_texts(width, n), TEXTS)
-    told = sent.groupBy("_bucket").applyInPandas(settle(width), C.REPLY)
-    out = C.with_replies(state, shared.unionByName(told), _finish(width, n, report), schema)
+    shared = C.mail(asked.groupBy("_bucket").applyInPandas(C.shared_keys(0), C.REPLY))
+    sent = C.with_replies(state, [shared], _send_texts(width, n), TEXTS)
+    told = C.mail(sent.groupBy("_bucket").applyInPandas(settle(width), C.REPLY))
+    out = C.with_replies(state, [shared, told], _finish(width, n, report), schema)
     return out.withColumn("doc_id", F.when(~F.col("_null"), F.col("doc_id"))).drop("_null")
 
 

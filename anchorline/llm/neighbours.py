@@ -1,19 +1,24 @@
 """Operator 4: approximate nearest neighbours by an inverted file with product-quantised residuals.
 
-Coarse centroids and residual codebooks are fitted by k-means on at most ``SAMPLE`` vectors (chosen by a hash
-of the id); every vector is indexed: its list, and its residual as one byte a subspace. A query probes the
-lists whose centroids promise most, looks its asymmetric distances up in one table a list, and scores the best
-``rerank`` candidates of each chunk exactly, in double precision on the original vectors. Every other candidate
-whose approximate score comes within its own quantisation error of the k-th best of these is scored exactly too
-(by Cauchy and Schwarz the rest cannot reach it), so the best k of the visited lists are exact: only the choice
-of lists is approximate, however many vectors are nearly alike.
-
-Lists are cut into chunks of bounded size by a hash of the id, so a list with a third of all rows is many
-tasks; queries are cut likewise into shares of bounded size, each of which meets a chunk in a task of its own (the
-chunk's vectors are sent once a share). What leaves a task is k rows a query.
-Queries are the stated ids; a query's own row is no candidate for it. Null vectors, zero vectors, wrong
-lengths and null or non-finite components take no part, as query or candidate. Ties go to the smaller id; of
-rows that repeat an id and vector each is a candidate. An empty table gives an empty result.
+Coarse centroids and residual codebooks are fitted by k-means on at most ``SAMPLE`` vectors (chosen by a hash of the
+id); every vector is indexed: its list, and its residual as one byte a subspace. How many lists a query visits is
+measured on the same sample: as many as held ``recall`` of its true neighbours there. So vectors with structure are
+found in few lists, and vectors close to random (where no index can do better) in many.
+
+1.  Codes alone meet the queries. Asymmetric distance tables give every visited code a score; what leaves a task are the
+    ``rerank`` best different codes of each query, and the least of the best of all tasks is the query's threshold:
+    one short list a query, over all lists.
+2.  Vectors whose code reaches the threshold are scored exactly, in double precision, where they lie; what leaves a task
+    are k rows a query. All vectors of a code are on the short list or none is, so a group of near copies that share
+    codes is never cut, however large it is; no pair leaves a task.
+
+Lists are dealt out in shards of about ``CHUNK`` vectors (a larger list is several shards by a hash of the row), queries
+in shares of about ``SHARE`` by their nearest list, so that a shard goes only to the shares that visit it.
+
+Queries are the stated ids, one query an id (of rows with one id, the least vector asks); rows of its own id are no
+candidates for it. Rows without id, null vectors, zero vectors, other lengths than the most frequent one and null or
+non-finite components take no part, as query or candidate. Ties go to the smaller id; of rows that repeat an id and
+vector each is a candidate. An empty table gives an empty result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,16 +28,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from anchorline.llm._common import stored, table
+from anchorline.llm._common import Tables, stored, table
+from anchorline.llm.chunks import U, mix
 
-#: Bounds: vectors for the fit, lists, vectors in a chunk, queries in a block, queries that meet a chunk in one task.
-SAMPLE, MOST_LISTS, CHUNK, QUERIES, SHARE = 20_000, 1024, 16_384, 512, 16_384
+#: Bounds: vectors for the fit, and of those for each list; vectors in a shard; queries in a share; queries scored at once.
+SAMPLE, PER_LIST, CHUNK, SHARE, BLOCK = 32_768, 16, 16_384, 16_384, 128
 PARTS = 16
+#: Queries of the sample that measure how many lists must be visited.
+MEASURED = 512
 #: Pairs scored exactly at once.
 PAIRS = 1 << 15
 K = 20
-#: Lists visited at least, so that small tables, with few lists, keep their recall.
-LEAST_VISITS = 24
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -76,46 +82,70 @@ class Index:
             out += (q[:, s] @ b.T)[:, codes[:, i]]
         return out
 
-    def error(self, x: np.ndarray, at: int, codes: np.ndarray) -> np.ndarray:
-        """Distance of each vector of one list from what its code stands for."""
-        coded = [b[codes[:, i]] for i, b in enumerate(self.books)]
-        return np.linalg.norm(x - self.centroids[at] - np.concatenate(coded, 1), axis=1)
+    def visits(self, x: np.ndarray, k: int, recall: float) -> int:
+        """Lists that must be visited for ``recall`` of the k nearest, measured on the fitted vectors."""
+        asks = np.unique(np.linspace(0, len(x) - 1, MEASURED).astype(np.int64))
+        at, found = nearest(x, self.centroids), []
+        for a in range(0, len(asks), 64):
+            i = asks[a : a + 64]
+            score = x[i] @ x.T
+            score[np.arange(len(i)), i] = -np.inf
+            top = np.argpartition(-score, min(k, len(x) - 1) - 1, axis=1)[:, : min(k, len(x) - 1)] if len(x) > 1 else np.zeros((len(i), 1), np.int64)
+            place = np.argsort(np.argsort(-(x[i] @ self.centroids.T), axis=1, kind="stable"), axis=1)
+            found.append(np.take_along_axis(place, at[top], 1).ravel())
+        return int(np.quantile(np.concatenate(found), recall, method="higher")) + 1
 
+    def visited(self, q: np.ndarray, visits: int) -> np.ndarray:
+        """Which lists each query visits (queries x lists)."""
+        out = np.zeros((len(q), len(self.centroids)), bool)
+        order = np.argsort(-(q @ self.centroids.T), axis=1, kind="stable")[:, :visits]
+        np.put_along_axis(out, order, True, 1)
+        return out
 
-def best_of(q: np.ndarray, x: np.ndarray, near: np.ndarray, error: np.ndarray, k: int, rerank: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query and vector positions and exact scores that hold the best k of each query; ``near`` is -inf for no candidate.
 
-    A score is at most the approximate one plus query length times error. Ties with the k-th best are all given.
-    """
-    n = len(x)
-    keep = near > -np.inf
-    size = np.linalg.norm(q, axis=1)
-    round_off = 1e-9 * size * np.linalg.norm(x, axis=1).max()
-    if n > max(k, rerank):
-        top = np.argpartition(-near, max(k, rerank) - 1, axis=1)[:, : max(k, rerank)]
-        exact = np.where(np.take_along_axis(keep, top, 1), np.einsum("qrd,qd->qr", x[top], q), -np.inf)
-        least = np.partition(exact, -k, axis=1)[:, -k] - round_off
-        keep &= ~(near + size[:, None] * error < least[:, None])
-        some = np.flatnonzero(keep.any(0))
-        if keep.sum() > 2 * top.size and len(some) > k:  # many: one product, then only what rounding leaves open
-            product = np.where(keep[:, some], q @ x[some].T, -np.inf)
-            least = np.partition(product, -k, axis=1)[:, -k] - round_off
-            keep[:, some] &= ~(product < least[:, None])
+def best_scores(q: np.ndarray, x: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query and vector positions, and exact scores, of the marked pairs."""
     at_q, at_x = np.nonzero(keep)
     score = [np.einsum("nd,nd->n", x[at_x[a : a + PAIRS]], q[at_q[a : a + PAIRS]]) for a in range(0, len(at_q), PAIRS)]
     return at_q, at_x, np.concatenate(score or [np.zeros(0)])
 
 
+def first_of(by: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
+    """Of rows in ``order`` (sorted by ``by`` first), the first k of each value of ``by``."""
+    g = by[order]
+    return order[np.arange(len(g)) - np.searchsorted(g, g) < k]
+
+
+def deal(sizes: dict[int, int], lists: int, most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """First part and number of parts of each list, and parts in all: small lists share one, larger ones are split."""
+    first, parts, at, held = np.zeros(lists, np.int64), np.ones(lists, np.int64), 0, 0
+    for i in range(lists):
+        n = sizes.get(i, 0)
+        if n > most:
+            at, held = at + (held > 0), 0
+            first[i], parts[i] = at, -(-n // most)
+            at += int(parts[i])
+            continue
+        if held + n > most:
+            at, held = at + 1, 0
+        first[i] = at
+        held += n
+    return first, parts, at + 1
+
+
 def _usable(c: Column, dim: int | None = None) -> Column:
     fine = F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(c, lambda x: x != 0)
     return c.isNotNull() & F.coalesce(fine, F.lit(False)) & ((F.size(c) == dim) if dim else (F.size(c) > 0))
 
 
-def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, probe: float = 0.6, rerank: int = 200, lists: int | None = None) -> DataFrame:
-    """query_id, rank, vec_id, score. ``probe`` is the part of the lists that each query visits (24 at least)."""
-    spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
-    rows = rows.where(_usable(F.col("v")))
+def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, probe: float | None = None, recall: float = 0.95, rerank: int | None = 400, lists: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score. ``probe``: the part of the lists that each query visits, instead of a measured one.
+
+    ``rerank``: different codes on the short list of a query; None: every visited vector is scored exactly.
+    """
+    spark, mine = vectors.sparkSession, Tables()
+    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    rows = rows.where(F.col("vec_id").isNotNull() & _usable(F.col("v")))
     sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     schema = "query_id long, rank int, vec_id long, score double"
     if not sizes:
@@ -123,11 +153,13 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     dim, n = sizes[0]
     rows = rows.where(F.size("v") == dim)
     sample = rows if n <= SAMPLE else rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int((1 << 30) * (SAMPLE / n)))
-    fitted = sample.select("vec_id", "v").toPandas().sort_values("vec_id")
-    lists = lists or int(np.clip(2 ** round(np.log2(max(1.0, n**0.5))), 1, MOST_LISTS))
-    index = Index(np.array(fitted["v"].tolist(), float), min(lists, len(fitted)))
-    shared = spark.sparkContext.broadcast(index)  # MOST_LISTS + 256 vectors
-    visits = min(len(index.centroids), max(LEAST_VISITS, int(np.ceil(probe * len(index.centroids)))))
+    fitted = sample.select("vec_id", "v").toArrow().sort_by("vec_id").column("v").combine_chunks()
+    x = np.asarray(fitted.flatten()).reshape(-1, dim)
+    many = lists or int(np.clip(2 ** round(np.log2(2 * n**0.5)), 1, max(1, SAMPLE // PER_LIST)))
+    index = Index(x, min(many, max(1, len(x) // 2) if lists is None else len(x)))
+    lists = len(index.centroids)
+    visits = min(lists, max(1, int(np.ceil(probe * lists)) if probe is not None else index.visits(x, k, recall)))
+    shared = spark.sparkContext.broadcast(index)  # SAMPLE / PER_LIST + 256 vectors
 
     def place(batches):
         for pdf in batches:
@@ -135,50 +167,127 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
             at, codes = shared.value.encode(x)
             yield pd.DataFrame({"vec_id": pdf["vec_id"], "at": at, "codes": [c.tobytes() for c in codes], "v": [r.tobytes() for r in x], "is_query": pdf["is_query"]})
 
-    placed = stored(rows.mapInPandas(place, "vec_id long, at int, codes binary, v binary, is_query boolean"))
-    sizes = {r["at"]: (r["n"], r["q"]) for r in placed.groupBy("at").agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).collect()}
-    chunks = {at: max(1, -(-size // CHUNK)) for at, (size, _) in sizes.items()}
-    total_q = sum(q for _, q in sizes.values())
-    blocks = max(1, -(-total_q // QUERIES))
-    shares = max(1, -(-total_q // SHARE))
-    per = F.element_at(F.create_map(*[F.lit(x) for at, c in chunks.items() for x in (at, c)]), F.col("at")) if len(chunks) < 2000 else F.lit(1)
-    cell = placed.select("at", F.pmod(F.xxhash64("vec_id"), per).cast("int").alias("chunk"), "vec_id", "codes", "v")
-    cell = cell.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))) if shares > 1 else F.lit(0))
+    placed = stored(rows.mapInPandas(place, "vec_id long, at int, codes binary, v binary, is_query boolean").withColumn("row", F.monotonically_increasing_id()))
+    asks = placed.where("is_query").groupBy("vec_id").agg(F.min(F.struct("v", "at")).alias("_q")).select(F.col("vec_id").alias("query_id"), "_q.*")
+    asks = mine.stored(asks)
+    held = {r[0]: r[1] for r in placed.groupBy("at").count().collect()}  # one number a list
+    asked = {r[0]: r[1] for r in asks.groupBy("at").count().collect()}
+    groups = max(8, -(-sum(asked.values()) // 4096))
+    shard, shard_parts, shards = deal(held, lists, CHUNK)
+    share, share_parts, _ = deal(asked, lists, SHARE)
+    plan = spark.createDataFrame([(i, int(shard[i]), int(shard_parts[i]), int(share[i]), int(share_parts[i])) for i in range(lists)], "at int, _s int, _sp int, _h int, _hp int")
+    at_shard = (F.col("_s") + F.pmod(F.xxhash64("row"), F.col("_sp"))).cast("int").alias("shard")
+    at_share = (F.col("_h") + F.pmod(F.xxhash64("query_id"), F.col("_hp"))).cast("int").alias("share")
+    cells = placed.join(F.broadcast(plan), "at").select(at_shard, "row", "vec_id", "at", "codes", "v")
 
     def visit(batches):
         for pdf in batches:
-            q = np.frombuffer(b"".join(pdf["v"]), float).reshape(-1, dim)
-            c = shared.value.centroids
-            best = np.argsort(-(q @ c.T), axis=1, kind="stable")[:, :visits]
-            rows = [(int(a), j, s, int(i), v) for i, v, s, lists_ in zip(pdf["vec_id"], pdf["v"], pdf["share"], best, strict=True) for a in lists_ for j in range(chunks.get(int(a), 0))]
-            yield pd.DataFrame(rows, columns=["at", "chunk", "share", "query_id", "v"])
-
-    share = F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(shares)).cast("int").alias("share")
-    asked = placed.where("is_query").select("vec_id", "v", share).repartition(blocks, "vec_id").mapInPandas(visit, "at int, chunk int, share int, query_id long, v binary")
-
-    def meet(key, queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(queries) and len(found):
-            found = found.sort_values("vec_id", kind="stable")
-            ids, x = found["vec_id"].to_numpy(), np.frombuffer(b"".join(found["v"]), float).reshape(-1, dim)
-            codes = np.frombuffer(b"".join(found["codes"]), np.uint8).reshape(len(ids), -1)
-            error = shared.value.error(x, int(key[0]), codes)
-            for a in range(0, len(queries), 128):
-                part = queries.iloc[a : a + 128]
-                qid, q = part["query_id"].to_numpy(), np.frombuffer(b"".join(part["v"]), float).reshape(-1, dim)
-                near = shared.value.approximate(q, int(key[0]), codes)
-                near[ids[None, :] == qid[:, None]] = -np.inf
-                at_q, at_x, score = best_of(q, x, near, error, k, rerank)
-                order = np.lexsort((at_x, -score, at_q))  # found is sorted: smaller ids first
-                at_q, at_x, score = at_q[order], at_x[order], score[order]
-                first = np.arange(len(at_q)) - np.searchsorted(at_q, at_q) < k
-                out.append(pd.DataFrame({"query_id": qid[at_q[first]], "vec_id": ids[at_x[first]], "score": score[first]}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    pairs = asked.groupBy("at", "chunk", "share").cogroup(cell.groupBy("at", "chunk", "share")).applyInPandas(meet, "query_id long, vec_id long, score double")
+            for a in range(0, len(pdf), BLOCK):
+                part = pdf.iloc[a : a + BLOCK]
+                seen = shared.value.visited(np.frombuffer(b"".join(part["v"]), float).reshape(-1, dim), visits)
+                to = np.zeros((len(part), shards), bool)
+                for i in range(lists):
+                    for j in range(int(shard[i]), int(shard[i] + shard_parts[i])):
+                        to[:, j] |= seen[:, i]
+                who, where = np.nonzero(to)
+                yield pd.DataFrame({"shard": where, "share": part["share"].to_numpy()[who], "query_id": part["query_id"].to_numpy()[who], "v": part["v"].to_numpy()[who]})
+
+    asks = asks.join(F.broadcast(plan), "at").select("query_id", at_share, "v")
+    asked = stored(asks.mapInPandas(visit, "shard int, share int, query_id long, v binary"))
+    mine.drop()
+    need = asked.select("shard", "share").distinct().toDF("shard", "share")
+    key = ["shard", "share"]
+
+    def scored(queries: pd.DataFrame, found: pd.DataFrame):
+        """For blocks of queries and each list here: positions of the queries, rows of the list, its different codes by hash, their scores."""
+        codes = np.frombuffer(b"".join(found["codes"]), np.uint8).reshape(len(found), -1)
+        of = found["at"].to_numpy()
+        order = np.argsort(of, kind="stable")
+        edges = np.flatnonzero(np.concatenate([[True], of[order][1:] != of[order][:-1], [True]]))
+        parts = []
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            i = order[lo:hi]
+            different, which = np.unique(codes[i].view(f"V{codes.shape[1]}").ravel(), return_inverse=True)
+            different = different.view(np.uint8).reshape(len(different), -1)
+            words = np.zeros((len(different), 16), np.uint8)
+            words[:, : different.shape[1]] = different
+            a, b = words.view(np.uint64).T
+            parts.append((int(of[i[0]]), i, different, which, mix(a * U(3) + mix(b + U(int(of[i[0]])))).astype(np.uint32)))
+        for a in range(0, len(queries), BLOCK):
+            q = np.frombuffer(b"".join(queries["v"].iloc[a : a + BLOCK]), float).reshape(-1, dim)
+            seen = shared.value.visited(q, visits)
+            for at, i, different, which, names in parts:
+                who = np.flatnonzero(seen[:, at])
+                if len(who):
+                    yield a, q, who, i, which, names, shared.value.approximate(q[who], at, different)
+
+    def shortlist(queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        """The best different codes of each query: scores and hashes of the codes."""
+        if not len(queries) or not len(found):
+            return pd.DataFrame({"query_id": [], "best": []})
+        best = np.full((len(queries), rerank), -np.inf, np.float32)
+        name = np.zeros((len(queries), rerank), np.uint32)
+        for a, _, who, _, _, h, near in scored(queries, found):
+            both = np.hstack([best[a + who], near.astype(np.float32)])
+            names = np.hstack([name[a + who], np.tile(h, (len(who), 1))])
+            top = np.argpartition(-both, rerank - 1, axis=1)[:, :rerank]
+            best[a + who], name[a + who] = np.take_along_axis(both, top, 1), np.take_along_axis(names, top, 1)
+        out = [np.stack([b.view(np.uint32), m])[:, b > -np.inf].tobytes() for b, m in zip(best, name, strict=True)]
+        return pd.DataFrame({"query_id": queries["query_id"], "best": out})
+
+    def threshold(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, least = [], []
+        for i, part in pdf.groupby("query_id"):
+            both = np.hstack([np.frombuffer(b, np.uint32).reshape(2, -1) for b in part["best"]])
+            _, first = np.unique(both[1], return_index=True)
+            score = np.sort(both[0, first].view(np.float32))[::-1]
+            ids.append(i)
+            least.append(float(score[rerank - 1]) if len(score) >= rerank else -np.inf)
+        return pd.DataFrame({"query_id": ids, "least": least})
+
+    def rescore(queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        if not len(queries) or not len(found):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        found = found.sort_values(["vec_id", "row"], kind="stable").reset_index(drop=True)
+        ids, x = found["vec_id"].to_numpy(), np.frombuffer(b"".join(found["v"]), float).reshape(-1, dim)
+        own, least = queries["query_id"].to_numpy(), queries["least"].to_numpy()
+        slack = 1e-5 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))  # scores of the first pass are rounded
+        out: list[tuple] = []
+        for a, q, who, i, which, _, near in scored(queries, found):
+            keep = (near >= (least - slack)[a + who, None])[:, which] & (ids[i][None, :] != own[a + who, None])
+            at_q, at_x, score = best_scores(q[who], x[i], keep)
+            at_q, at_x = a + who[at_q], i[at_x]
+            first = first_of(at_q, np.lexsort((at_x, -score, at_q)), k)  # found is sorted: smaller ids first
+            out.append((at_q[first], at_x[first], score[first]))
+        at_q, at_x, score = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        first = first_of(at_q, np.lexsort((at_x, -score, at_q)), k)
+        return pd.DataFrame({"query_id": own[at_q[first]], "vec_id": ids[at_x[first]], "score": score[first]})
+
+    if rerank is None:
+        ready = asked.withColumn("least", F.lit(float("-inf")))
+    else:
+        codes = cells.select("shard", "at", "codes").join(need, "shard")
+        listed = asked.groupBy(*key).cogroup(codes.groupBy(*key)).applyInPandas(shortlist, "query_id long, best binary")
+        least = listed.withColumn("_g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("_g").applyInPandas(threshold, "query_id long, least double")
+        ready = asked.join(least, "query_id")
+    full = cells.join(need, "shard")
+    pairs = ready.groupBy(*key).cogroup(full.groupBy(*key)).applyInPandas(rescore, "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def exact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lists visited and every code on the short list: what SQL gives."""
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, probe=1.0, rerank=None).withColumn("score", F.round("score", 9))
+
+
+EXACT_SQL = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.v, b.v) AS score FROM e a JOIN e b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, round(score, 9) AS score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""

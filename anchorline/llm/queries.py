@@ -14,6 +14,8 @@ QUERIES = {
     "op9_quality_rules": quality.query,
     "op10_pieces": pieces.query,
     "quality_base": quality.base_query,
+    "mixing_targets": mixing.targets_query,
+    "neighbours_exact": neighbours.exact_query,
 }
 #: DuckDB text where SQL expresses the operator; the others are tested against brute force.
-ORACLE = {"op2_url_filters": urlfilter.SQL, "op5_suffix_dedup": suffix_dedup.SQL, "op6_substring_dedup": substring_dedup.SQL, "quality_base": quality.BASE_SQL}
+ORACLE = {"op2_url_filters": urlfilter.SQL, "op5_suffix_dedup": suffix_dedup.SQL, "op6_substring_dedup": substring_dedup.SQL, "quality_base": quality.BASE_SQL, "mixing_targets": mixing.TARGETS_SQL, "neighbours_exact": neighbours.EXACT_SQL}

@@ -63,12 +63,64 @@ def test_mixing(spark):
     assert mixing.mix(df.limit(0))[0].count() == 0 and mixing.mixed_documents(df.limit(0)).count() == 0
 
 
-def test_splitting_tree_is_fair(spark):
-    """Each level halves each node, and sources spread over shards as draws without replacement do."""
-    blocks = spark.range(1024).select(F.when(F.col("id") < 256, "a").otherwise("b").alias("source"), F.col("id").alias("block"), F.lit(0).alias("pass"))
-    n = mixing.shards_of(blocks, 3, 5).groupBy("shard").agg(F.count("*").alias("n"), F.count_if(F.col("source") == "a").alias("a")).collect()
-    assert [x.n for x in n] == [128] * 8 and sum(x.a for x in n) == 256
-    assert all(10 < x.a < 56 for x in n) and len({x.a for x in n}) > 1
+def test_splitting_tree_keeps_quotas(spark):
+    """Each node halves its units, leaves add up to the quotas, and sources spread as draws without replacement do."""
+    what = lambda *v: F.struct(*[F.lit(x).alias(n) for x, n in zip(v, ("source", "pass", "drawn"))])
+    quotas = spark.range(2).select(F.when(F.col("id") == 0, what("a", 0, 1)).otherwise(what("b", 0, 1)).alias("what"), F.when(F.col("id") == 0, 256).otherwise(768).cast("long").alias("quota"))
+    rows = mixing.split(quotas, 3, 5).collect()
+    total, of_a = {}, {}
+    for x in rows:
+        total[x.shard] = total.get(x.shard, 0) + x.quota
+        if x.what.source == "a":
+            of_a[x.shard] = x.quota
+    assert total == dict.fromkeys(range(8), 128) and sum(of_a.values()) == 256
+    assert all(10 < n < 56 for n in of_a.values()) and len(set(of_a.values())) > 1
+
+
+def test_leaves_draw_disjoint_blocks(spark):
+    """Every block is in one shard a pass; leaves draw as many as the quota says; another tree draws other blocks."""
+    blocks = spark.range(600).select(F.when(F.col("id") % 3 == 0, "a").alias("source"), F.col("id").alias("block"), F.when(F.col("id") % 3 == 0, 1).otherwise(0).cast("long").alias("_passes"), F.lit(0.4).alias("_part"))
+    draws = {}
+    for levels in (1, 4):
+        rows = mixing.drawn_blocks(blocks, levels, 3).collect()
+        assert len(rows) == len({(x.source, x.block, x["pass"]) for x in rows}) == 800
+        part = [x for x in rows if x["pass"] == (1 if x.source == "a" else 0)]
+        assert sum(x.drawn for x in part if x.source == "a") == 80 and sum(x.drawn for x in part if x.source is None) == 160
+        assert all(x.drawn for x in rows if x.source == "a" and x["pass"] == 0)
+        sizes = [sum(x.shard == i for x in rows) for i in range(1 << levels)]
+        assert max(sizes) - min(sizes) <= levels
+        draws[levels] = {(x.source, x.block) for x in part if x.drawn}
+    assert draws[1] != draws[4]
+
+
+def test_mix_depends_on_the_tree(spark):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 40).cast("int")).alias("text"), F.concat(F.lit("s"), F.col("id") % 5).alias("source"), F.lit(1.5).alias("_row"))
+    a, b = ({r.doc_id: (r.taken, r.source) for r in mixing.mix(df, shards=n)[0].collect()} for n in (2, 32))
+    assert a != b
+    for s in range(5):
+        assert len({sum(t for t, x in y.values() if x == f"s{s}") for y in (a, b)}) == 1
+    mixed = mixing.mixed_documents(df, shards=8)
+    assert mixed.columns == df.columns
+    _, draws = mixing.mix(df, shards=8)
+    shard = {}
+    for x in draws.collect():
+        shard.setdefault(x.doc_id, set()).add(x.shard)
+    place = [(i, [r.doc_id for r in p]) for i, p in enumerate(mixed.rdd.glom().collect()) if p]
+    assert sum(len(p) for _, p in place) == draws.count()
+    for _, ids in place:  # shard by shard, each of them whole and shuffled
+        if len(ids) > 100:
+            assert ids != sorted(ids)
+    assert mixed.count() == draws.count()
+
+
+def test_equal_and_null_ids(spark):
+    rows = [(None, f"{'w ' * (i % 9)}{i}", "a") for i in range(300)] + [(7, "same text here", "a")] * 50 + [(7, "other", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out, _ = mixing.mix(df)
+    got = out.collect()
+    assert len(got) == len(rows) and sum(x.taken for x in got) == round(1.5 * sum(len(t.split()) for _, t, _ in rows))
+    one, two = (sorted(map(str, mixing.mixed_documents(df).collect())) for _ in range(2))
+    assert one == two and sum(len(x.text.split()) for x in mixing.mixed_documents(df).collect()) == sum(x.taken for x in got)
 
 
 # 2 ---------------------------------------------------------------------------------------------------------
@@ -201,6 +253,37 @@ def test_neighbours_recall(spark):
     assert len(got) == len(recall) and np.mean(recall) >= 0.9
 
 
+def test_repeated_query_rows_list_each_neighbour_once(spark):
+    r = np.random.default_rng(4)
+    x = [(i, r.normal(size=8).tolist()) for i in range(200)]
+    once = neighbours.search(spark.createDataFrame(x, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, probe=1.0)
+    x += [x[20], x[20], (40, [9.0] * 8), (None, [1.0] * 8)]
+    twice = neighbours.search(spark.createDataFrame(x, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, probe=1.0)
+    a, b = ({q: [t.vec_id for t in sorted(d.collect(), key=lambda t: t["rank"]) if t.query_id == q] for q in (20, 60)} for d in (once, twice))
+    assert a[20] == [i for i in b[20] if i != 40] + a[20][len([i for i in b[20] if i != 40]):] and len(b[20]) == 20
+    ids = [t.query_id for t in twice.collect()]
+    assert all(ids.count(q) == 20 for q in range(0, 200, 20))
+
+
+def test_short_list_decides_and_not_all_lists_are_visited(spark):
+    """Recall on a table where the search is not exhaustive; fewer codes on the short list find less."""
+    r = np.random.default_rng(12)
+    centres = r.normal(size=(60, 32))
+    x = centres[r.integers(0, 60, 6000)] + r.normal(size=(6000, 32)) * 0.7
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    s = x[::20] @ x.T
+    s[np.arange(300), np.arange(0, 6000, 20)] = -np.inf
+    best = {20 * i: set(np.argsort(-s[i], kind="stable")[:20].tolist()) for i in range(300)}
+    index = neighbours.Index(x, 128)
+    assert index.visits(x, 20, 0.95) < 64
+
+    def recall(**kw):
+        got = neighbours.search(df, F.col("vec_id") % 20 == 0, **kw).toPandas().groupby("query_id").vec_id
+        return np.mean([len(best[q] & set(v)) / 20 for q, v in got])
+
+    assert recall() >= 0.93 > recall(rerank=20) and recall(probe=0.02) < 0.9
+
+
 def test_neighbours_of_a_hot_group_of_near_copies(spark):
     r = np.random.default_rng(11)
     x = r.normal(size=(8000, 64)) / 8

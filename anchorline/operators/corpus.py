@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed order of states and of media kinds, least first.
@@ -20,10 +20,18 @@ def rank_of(c: Column, order: Sequence[str], default: int = 0) -> Column:
 
 
 def elect_primary(df: DataFrame, group: str, id_col: str, score: Sequence[Column], tie: str) -> DataFrame:
-    """The greatest score of each group is primary, ties by input order; the others point to it."""
-    w = Window.partitionBy(group).orderBy(*[s.desc() for s in score], F.col(tie).asc())
-    df = df.withColumn("_rn", F.row_number().over(w)).withColumn("_top", F.first(id_col).over(w))
-    return df.withColumn("is_primary", F.col("_rn") == 1).withColumn("duplicate_of", F.when(F.col("_rn") > 1, F.col("_top"))).drop("_rn", "_top")
+    """The greatest score of each group is primary, ties by input order; the others point to it.
+
+    Maxima and minima are combined before the shuffle, so a group that holds a third of all rows is no single task's
+    work; (tie, id) must be unique in a group.
+    """
+    # the order is strict: compared as a struct, nulls least; the tie is turned round by electing in two steps
+    best = df.groupBy(group).agg(F.max(F.struct(*score)).alias("_best"))
+    top = df.join(best.withColumnRenamed(group, "_g"), F.col(group).eqNullSafe(F.col("_g"))).where(F.struct(*score).eqNullSafe(F.col("_best")))
+    top = top.groupBy("_g").agg(F.min(F.struct(F.col(tie).alias("t"), F.col(id_col).alias("i"))).alias("_top"))
+    out = df.join(top, F.col(group).eqNullSafe(F.col("_g")))
+    first = F.col(tie).eqNullSafe(F.col("_top.t")) & F.col(id_col).eqNullSafe(F.col("_top.i"))
+    return out.withColumn("is_primary", first).withColumn("duplicate_of", F.when(~first, F.col("_top.i"))).drop("_g", "_top")
 
 
 def duplicate_report(elected: DataFrame, group: str, id_col: str) -> DataFrame:
@@ -44,6 +52,17 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> Dat
     return existing.join(new, cond, "left_anti").unionByName(incoming, allowMissingColumns=True)
 
 
+def not_yet(entities: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Entities without any row in what is done."""
+    return entities.join(done.select(key).distinct(), key, "left_anti")
+
+
+def worst_first(meta: DataFrame, k: int, key: str = "pk_id") -> DataFrame:
+    """Failed ones first, then warned, ungraded and passed ones; a bounded top-k."""
+    order = F.when(F.col("qc_status") == "fail", 0).when(F.col("qc_status") == "warn", 1).when(F.col("qc_status") == "pass", 3).otherwise(2)
+    return meta.orderBy(order, key).limit(k)
+
+
 def publishable(rows: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
     return rows.join(allowed.select(key).distinct(), key, "left_semi")
 
@@ -61,6 +80,47 @@ def roll_up(facts: DataFrame, key: str, order: str = "check_ord") -> DataFrame:
     return out.select(key, status.alias("qc_status"), F.nullif(F.array_join(F.col("_b.t"), "; "), F.lit("")).alias("qc_reasons"))
 
 
+def report(meta: DataFrame, events: DataFrame, snapshots: DataFrame, facts: DataFrame) -> DataFrame:
+    """Every number of the corpus report as rows section, key, value: one aggregate a section, nothing collected."""
+    c, rows = F.col, []
+
+    def tall(df: DataFrame, section: str, key: Column, values: dict[str, Column]) -> None:
+        pairs = F.array(*[F.struct(F.lit(n).alias("n"), v.cast("double").alias("v")) for n, v in values.items()])
+        x = df.select(key.cast("string").alias("_k"), F.explode(pairs).alias("_p"))
+        rows.append(x.select(F.lit(section).alias("section"), F.concat_ws("/", "_k", c("_p.n")).alias("key"), c("_p.v").alias("value")))
+
+    none = F.lit(None).cast("string")
+    usable = c("is_primary") & c("media_kind").isin("video", "pose_table")
+    labels = ("label_kick_direction", "label_goal", "label_footedness", "label_camera_direction")
+    n = meta.agg(F.count("*").alias("records"), F.count_if("is_primary").alias("unique"), F.count_if(usable).alias("usable"), *[F.try_divide(F.count_if(usable & c(x).isNotNull()), F.count_if(usable)).alias(x) for x in labels])
+    tall(n, "corpus", none, {x: c(x) for x in ("records", "unique", "usable")})
+    tall(n, "label_coverage", none, {x: c(x) for x in labels})
+    tall(meta.groupBy("source").agg(F.count("*").alias("n"), F.count_if("is_primary").alias("u")), "sources", c("source"), {"records": c("n"), "unique": c("u")})
+    con = events.where("event_name = 'ball_contact'").agg(F.count_if(~c("is_missing")).alias("r"), F.count("*").alias("n"))
+    tall(con, "contact", none, {"resolved": c("r"), "of": c("n"), "rate": F.try_divide("r", "n")})
+    s = snapshots.groupBy("offset_ms").agg(F.count_if("snapshot_available").alias("a"), F.count("*").alias("n"))
+    tall(s, "snapshots", c("offset_ms"), {"available": c("a"), "of": c("n"), "rate": c("a") / c("n")})
+    tall(snapshots.where("not snapshot_available").groupBy("unavailable_reason").agg(F.count("*").alias("n")), "unavailable", c("unavailable_reason"), {"n": c("n")})
+    tall(check_summary(facts), "checks", c("check"), {**{x: c(f"n_{x}") for x in STATUS}, "rate": c("success_rate")})
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def source_matrix(facts: DataFrame, meta: DataFrame, key: str = "pk_id") -> DataFrame:
+    """The graded facts by source and check."""
+    return facts.drop("source").join(meta.select(key, "source"), key, "left").groupBy("source", "check").agg(*[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in STATUS])
+
+
+def mirror_match(renders: DataFrame, rows: DataFrame, slug: str, ident: str = "source_identifier", key: str = "pk_id") -> DataFrame:
+    """Renders matched by identifier with the rows of another source: number of rows, and a status where there is none."""
+    want = renders.select(ident, F.concat(F.lit(f"{slug}:"), F.col(ident)).alias(key))
+    n = rows.where("not is_missing").groupBy(key).agg(F.count("*").alias("n_rows"))
+    out = want.join(n, key, "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+    return out.withColumn("status", F.when(F.col("n_rows") == 0, "no matching rows").otherwise("matched"))
+
+
 def check_summary(facts: DataFrame) -> DataFrame:
     n = {s: F.count_if(F.col("status") == s) for s in STATUS}
     out = facts.groupBy("check").agg(*[n[s].alias(f"n_{s}") for s in STATUS])

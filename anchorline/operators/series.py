@@ -60,7 +60,7 @@ def best_match(left: DataFrame, right: DataFrame, on: Sequence[str], left_id: st
 
 def near_hits(points: DataFrame, lit: DataFrame, on: Sequence[str], tol: int, point_id: str) -> DataFrame:
     """Points with a lit pixel within ``tol`` in both directions: equi-join on tol-sized cells and their neighbours."""
-    cell = lambda c, d=0: (F.floor(F.col(c) / tol) + d).cast("long")
+    cell = lambda c, d=0: (F.floor(F.col(c) / max(tol, 1)) + d).cast("long")
     around = F.array(*[F.struct(cell("x", i).alias("cx"), cell("y", j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     p = points.select(*on, point_id, "x", "y", F.explode(around).alias("c")).select(*on, point_id, F.col("x").alias("px"), F.col("y").alias("py"), "c.cx", "c.cy")
     q = lit.select(*on, "x", "y", cell("x").alias("cx"), cell("y").alias("cy"))

@@ -13,6 +13,11 @@ def relative_ms(frame: Column, anchor: Column, fps: Column) -> Column:
     return (frame - anchor) / fps * F.lit(1000.0)
 
 
+def input_order(df: DataFrame) -> Column:
+    """Where a row came in: ``ingest_ord``, or all its columns, so that reruns agree."""
+    return F.col("ingest_ord") if "ingest_ord" in df.columns else F.struct(*sorted(df.columns))
+
+
 def keep_last(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(F.desc(order))
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anchorline.functions import scalars as S
@@ -11,6 +11,7 @@ from anchorline.operators import corpus as C
 from anchorline.operators import kinematics as K
 from anchorline.operators import series as R
 from anchorline.operators import timeline as T
+from anchorline.sources import readers
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -36,13 +37,13 @@ def _aligned(spark, d) -> DataFrame:
     """Events with milliseconds from the user's latest purchase."""
     e = _t(spark, d, "events").select("user_id", "event_id", "event_type", "value", S.epoch_us(F.col("ts")).alias("us"))
     a = e.where("event_type = 'purchase'").groupBy("user_id").agg(F.max("us").alias("anchor_us"))
-    return e.join(a, "user_id", "left").withColumn("t_ms", (F.col("us") - F.col("anchor_us")) / F.lit(1000.0))
+    return e.join(a, "user_id", "left").withColumn("t_ms", T.relative_ms(F.col("us"), F.col("anchor_us"), F.lit(1e6)))
 
 
 _ALIGNED = """
 e as (select user_id, event_id, event_type, value, epoch_us(ts) as us from events),
 a as (select user_id, max(us) as anchor_us from e where event_type = 'purchase' group by user_id),
-al as (select e.*, anchor_us, (us - anchor_us) / 1000.0::double as t_ms from e left join a using (user_id))"""
+al as (select e.*, anchor_us, (us - anchor_us) / 1000000.0::double * 1000.0::double as t_ms from e left join a using (user_id))"""
 
 
 @named("anchor_align", f"with {_ALIGNED} select user_id, event_id, t_ms from al")
@@ -200,12 +201,12 @@ def id_normalise(spark, d):
 
 
 @named("upsert_orders", """
-with n as (select o_orderkey, 'new' as state, o_totalprice * 2 as price from orders where o_orderkey % 3 = 0), o as (select o_orderkey, 'old' as state, o_totalprice as price from orders where o_orderkey % 2 = 0)
+with n as (select o_orderkey, 'new' as state, o_totalprice * 2 as price from orders where o_orderstatus = 'F'), o as (select o_orderkey, 'old' as state, o_totalprice as price from orders)
 select * from o where o_orderkey not in (select o_orderkey from n) union all select * from n""")
 def upsert_orders(spark, d):
     o = _t(spark, d, "orders")
-    old = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("old").alias("state"), F.col("o_totalprice").alias("price"))
-    new = o.where("o_orderkey % 3 = 0").select("o_orderkey", F.lit("new").alias("state"), (F.col("o_totalprice") * 2).alias("price"))
+    old = o.select("o_orderkey", F.lit("old").alias("state"), F.col("o_totalprice").alias("price"))
+    new = o.where("o_orderstatus = 'F'").select("o_orderkey", F.lit("new").alias("state"), (F.col("o_totalprice") * 2).alias("price"))
     return C.upsert(old, new, ["o_orderkey"])
 
 
@@ -272,10 +273,9 @@ def qc_summary(spark, d):
     return C.check_summary(_facts(spark, d))
 
 
-@named("worst_first", f"with {_ROLLED} select user_id, ['na', 'pass', 'warn', 'fail'][r + 1] as qc_status from ro order by r desc, user_id limit 20")
+@named("worst_first", f"with {_ROLLED} select user_id, ['na', 'pass', 'warn', 'fail'][r + 1] as qc_status from ro order by case r when 3 then 0 when 2 then 1 when 1 then 3 else 2 end, user_id limit 20")
 def worst_first(spark, d):
-    r = C.roll_up(_facts(spark, d), "user_id")
-    return r.orderBy(C.rank_of(F.col("qc_status"), C.STATUS).desc(), "user_id").limit(20).select("user_id", "qc_status")
+    return C.worst_first(C.roll_up(_facts(spark, d), "user_id"), 20, "user_id").select("user_id", "qc_status")
 
 
 @named("label_coverage", "select source, count(*) as records, count(l.doc_id) as labelled, count(l.doc_id)::double / count(*) as coverage from documents d left join labels l on l.doc_id = d.doc_id group by source")
@@ -384,27 +384,27 @@ def token_filter(spark, d):
 
 
 @named("crosswalk_enrich", """
-with x as (select n_nationkey % 20 as k, n_name, r_name, row_number() over (partition by n_nationkey % 20 order by n_nationkey desc) rn from nation join region on r_regionkey = n_regionkey)
-select c_custkey, case when n_name is not null then 'cust;' || n_name || ';' || r_name else 'cust' end as provenance, n_name is not null as mapped from customer left join x on k = c_nationkey and rn = 1""")
+with x as (select n_nationkey % 20 as k, n_name || ';' || r_name as target, row_number() over (partition by n_nationkey % 20 order by n_nationkey desc) rn from nation join region on r_regionkey = n_regionkey)
+select c_custkey, case when target is not null then 'cust;' || target else 'cust' end as provenance, target is not null as mapped from customer left join x on k = c_nationkey and rn = 1""")
 def crosswalk_enrich(spark, d):
     n = _t(spark, d, "nation").join(_t(spark, d, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
-    x = T.keep_last(n.withColumn("k", F.col("n_nationkey") % 20), ["k"], "n_nationkey").select("k", "n_name", "r_name")
-    c = _t(spark, d, "customer").join(x, F.col("k") == F.col("c_nationkey"), "left")
-    return c.select("c_custkey", F.when(F.col("n_name").isNotNull(), F.concat_ws(";", F.lit("cust"), "n_name", "r_name")).otherwise("cust").alias("provenance"), F.col("n_name").isNotNull().alias("mapped"))
+    walk = n.select((F.col("n_nationkey") % 20).cast("string").alias("name"), F.concat_ws(";", "n_name", "r_name").alias("target"), F.col("n_nationkey").alias("ord"))
+    c = readers.crosswalk(_t(spark, d, "customer").select("c_custkey", "c_nationkey"), walk, F.concat(F.col("c_nationkey").cast("string"), F.lit(".mkv")))
+    return c.select("c_custkey", F.concat_ws(";", F.lit("cust"), "target").alias("provenance"), F.col("target").isNotNull().alias("mapped"))
 
 
 @named("candidate_ladder", """
-select page_id, case when regexp_matches(url, '(?i)example\\.org') then 'other_domain' when length(html) < 1000 then 'too_small' when length(html) > 3000 then 'too_long' when url not like 'https%' then 'no_licence' end as excluded from pages""")
+select page_id, case when regexp_matches(url, '(?i)example\\.org') then 'other_sport' when length(html) < 1000 then 'too_narrow' when length(html) > 3000 then 'too_long' when url not like 'https%' then 'no_licence' end as excluded from pages""")
 def candidate_ladder(spark, d):
     n = F.length("html")
-    why = F.when(F.col("url").rlike(r"(?i)example\.org"), "other_domain").when(n < 1000, "too_small").when(n > 3000, "too_long").when(~F.col("url").like("https%"), "no_licence")
+    why = readers.exclusion(F.col("url").rlike(r"(?i)example\.org"), n, n, F.when(F.col("url").like("https%"), F.col("url")), narrow=1000, long=3000)
     return _t(spark, d, "pages").select("page_id", why.alias("excluded"))
 
 
 @named("json_annotations", "select event_id, (props->>'$.k')::bigint as k from events where event_type = 'click'")
 def json_annotations(spark, d):
     e = _t(spark, d, "events").where("event_type = 'click'")
-    return e.select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+    return e.select("event_id", readers.parsed(F.col("props"), "k long")["k"].alias("k"))
 
 
 @named("hms_seconds", """
@@ -449,16 +449,13 @@ def hit_rate(spark, d):
 
 @named("resume_anti", "select o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem)")
 def resume_anti(spark, d):
-    done = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    return _t(spark, d, "orders").select("o_orderkey").join(done, "o_orderkey", "left_anti")
+    return C.not_yet(_t(spark, d, "orders").select("o_orderkey"), _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
 
 
 @named("first_wins_union", "with u as (select o_custkey as k, 1 as term, o_orderkey from orders where o_orderpriority like '1%' union all select o_custkey, 2, o_orderkey from orders where o_orderpriority like '2%'), r as (select *, row_number() over (partition by k order by term, o_orderkey) rn from u) select k, term, o_orderkey from r where rn = 1")
 def first_wins_union(spark, d):
     o = _t(spark, d, "orders")
-    part = lambda p, i: o.where(F.col("o_orderpriority").startswith(p)).select(F.col("o_custkey").alias("k"), F.lit(i).alias("term"), "o_orderkey")
-    w = Window.partitionBy("k").orderBy("term", "o_orderkey")
-    return part("1", 1).unionByName(part("2", 2)).withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    return readers.union_first([o.where(F.col("o_orderpriority").startswith(str(i))).select(F.col("o_custkey").alias("k"), F.lit(i).alias("term"), "o_orderkey") for i in (1, 2)], "k")
 
 
 @named("marker_resolution", """

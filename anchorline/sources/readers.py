@@ -53,7 +53,7 @@ def first_entities(df: DataFrame, key: str, ordinal: str, n: int | None) -> Data
     """Rows of the first n distinct entities in file order."""
     if n is None:
         return df
-    first = df.groupBy(key).agg(F.min(ordinal).alias("_met")).orderBy("_met").limit(n).select(key)
+    first = df.groupBy(key).agg(F.min(ordinal).alias("_met")).orderBy("_met", key).limit(n).select(key)
     return df.join(first, key, "left_semi")
 
 
@@ -84,18 +84,23 @@ def crosswalk(df: DataFrame, walk: DataFrame, key: Column, ordinal: str = "ord")
 
 
 def union_first(parts: Sequence[DataFrame], key: str) -> DataFrame:
-    """Each key from the first part that has it."""
+    """Each key from the first part that has it; of several rows there, the least (minima are combined before the shuffle)."""
     every = None
     for i, p in enumerate(parts):
         p = p.withColumn("_term", F.lit(i))
         every = p if every is None else every.unionByName(p)
-    w = Window.partitionBy(key).orderBy("_term")
-    return every.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_term")
+    first = every.groupBy(key).agg(F.min(F.struct("_term", F.struct(*sorted(c for c in every.columns if c not in (key, "_term"))).alias("r"))).alias("_m"))
+    return first.select(*[F.col(key) if c == key else F.col(f"_m.r.{c}").alias(c) for c in every.columns if c != "_term"])
 
 
-def exclusion(other: Column, width: Column, duration: Column, licence: Column) -> Column:
+def exclusion(other: Column, width: Column, duration: Column, licence: Column, narrow: float = 640, long: float = 240) -> Column:
     """Why a catalogue entry is left out, first reason first; NULL keeps it."""
-    return F.when(other, "other_sport").when(width < 640, "too_narrow").when(duration > 240, "too_long").when(licence.isNull() | (licence == ""), "no_licence")
+    return F.when(other, "other_sport").when(width < narrow, "too_narrow").when(duration > long, "too_long").when(licence.isNull() | (licence == ""), "no_licence")
+
+
+def parsed(text: Column, schema: str, mode: str = "PERMISSIVE") -> Column:
+    """A JSON column by its schema; what cannot be read is NULL."""
+    return F.from_json(text, schema, {"mode": mode})
 
 
 def crosswalk_coverage(segs: DataFrame, walk: DataFrame, video: str = "video_name") -> DataFrame:

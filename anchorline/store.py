@@ -1,4 +1,4 @@
-"""Tables as Parquet folders: scan, atomic replacement, idempotent upsert, JSON manifests."""
+"""Tables as Parquet folders: scan, replacement that survives a crash, idempotent upsert, JSON manifests."""
 
 from __future__ import annotations
 
@@ -21,46 +21,72 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def read_table(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
-    """The stored rows; a missing folder is an empty table with the table's columns."""
+def _beside(spark: SparkSession, path: str, kind: str) -> list:
+    """Folders that writes left beside a table, latest last."""
+    p, fs = _fs(spark, path)
+    found = fs.globStatus(_fs(spark, f"{path}.{kind}-*")[0]) or []
+    return [s.getPath() for s in sorted(found, key=lambda s: (s.getModificationTime(), s.getPath().toString()))]
+
+
+def _where(spark: SparkSession, path: str) -> str | None:
+    """Where the rows are: the folder, or the one a write moved away before it ended; None if there never was one."""
     if exists(spark, path):
-        return spark.read.parquet(path)
-    return spark.createDataFrame([], SCHEMAS[table] if table else "")
+        return path
+    old = _beside(spark, path, "old")
+    return old[-1].toString() if old else None
+
+
+def read_table(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """The stored rows in the table's schema; a table that was never written is empty."""
+    at = _where(spark, path)
+    if at is None:
+        return spark.createDataFrame([], SCHEMAS[table] if table else "")
+    return spark.read.parquet(at)
+
 
+def write_table(df: DataFrame, path: str, table: str | None = None) -> int:
+    """Writes beside the target and swaps, so a plan may read its target; returns the rows stored.
 
-def write_table(df: DataFrame, path: str, table: str | None = None) -> None:
-    """Writes beside the target and swaps, so readers see the old rows or the new ones, and a plan may read its target."""
+    The old rows are moved, then the new ones take their place. Between the two, and after a crash there, ``read_table``
+    finds the old rows where they were moved; they are deleted when new ones stand in their place. One writer a table.
+    """
     spark = df.sparkSession
-    df = coerce(df, table) if table else df
-    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(new)
     p, fs = _fs(spark, path)
-    o, n = _fs(spark, old)[0], _fs(spark, new)[0]
+    df = coerce(df, table) if table else df
+    new, moved = (_fs(spark, f"{path}.{kind}-{uuid.uuid4().hex}")[0] for kind in ("new", "old"))
+    df.write.option("compression", "zstd").parquet(new.toString())
     had = fs.exists(p)
-    if had and not fs.rename(p, o):
+    if had and not fs.rename(p, moved):
         raise OSError(f"cannot move {path}")
-    if not fs.rename(n, p):
+    if not fs.rename(new, p):
         if had:
-            fs.rename(o, p)
+            fs.rename(moved, p)
         raise OSError(f"cannot move {new}")
-    fs.delete(o, True)
+    for kind in ("old", "new"):
+        for left in _beside(spark, path, kind):
+            fs.delete(left, True)
     spark.catalog.refreshByPath(path)
+    return spark.read.parquet(path).count()
 
 
-def upsert_table(df: DataFrame, path: str, table: str, keys=("pk_id",)) -> None:
-    """Replaces what is stored of the incoming entities; replaying changes nothing."""
+def upsert_table(df: DataFrame, path: str, table: str, keys=("pk_id",)) -> int:
+    """Replaces what is stored of the incoming entities; replaying changes nothing. Returns the rows then stored."""
     spark = df.sparkSession
-    write_table(merge(read_table(spark, path, table), coerce(df, table), list(keys)), path, table)
+    return write_table(merge(read_table(spark, path, table), coerce(df, table), list(keys)), path, table)
 
 
 def write_manifest(spark: SparkSession, path: str, data: dict) -> None:
-    p, fs = _fs(spark, path)
+    """Replaces the file in one step: readers see the old text or the new one."""
     t = _fs(spark, f"{path}.new")[0]
+    p, fs = _fs(spark, path)
     out = fs.create(t, True)
     out.write(bytearray(json.dumps(data, sort_keys=True, indent=1).encode()))
     out.close()
-    fs.delete(p, False)
-    fs.rename(t, p)
+    jvm = spark._jvm
+    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(t), fs.makeQualified(p), how)
 
 
 def read_manifest(spark: SparkSession, path: str, default: dict | None = None) -> dict:

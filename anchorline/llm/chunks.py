@@ -139,6 +139,7 @@ class Rounds:
         self.spark = state.sparkSession
         self.parts = int(np.clip(-(-total // PART_BYTES), 8, MOST_PARTS))
         self.state = state.rdd.map(tuple).partitionBy(self.parts, _place)
+        self.parts = self.state.getNumPartitions()  # all of the following must lie alike
         self.told: list = []
 
     def each(self, fn: Callable):
@@ -219,7 +220,9 @@ class Slices:
         for a in range(0, max(0, n - width + 1), PIECE):
             b = min(a + PIECE, n - width + 1)
             q = np.arange(a, b)
-            doc = np.searchsorted(self.ends, q, side="right")
+            lo, hi = np.searchsorted(self.ends, [a, b - 1], side="right")
+            cut = np.clip(self.ends[lo : hi + 1], a, b)
+            doc = np.repeat(np.arange(lo, hi + 1), np.diff(cut, prepend=a))
             valid = self.ends[doc] - q >= width
             if gone is not None:
                 valid &= gone[q + width] == gone[q]

@@ -26,6 +26,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,7 @@ class Parse:
         self.edge = np.zeros(n + 1, bool)
         self.edge[np.concatenate([[0], np.cumsum(lengths), [n]])] = True
         self.edges = np.flatnonzero(self.edge)
+        self.own = self.edges[np.cumsum(self.edge) - 1]  # the edge at or before each boundary
         self.pos, self.sym = np.arange(n + 1), names
         self.left, self.right = self.pos.copy(), self.pos.copy()
         self.levels = [(self.pos, self.sym, self.left, self.right)]
@@ -107,7 +109,7 @@ class Parse:
         first = np.flatnonzero(keep)
         self.pos, left, self.right = self.pos[first], left[first], right[first]
         # what hangs on words beyond an edge stays out of every window there
-        self.left = np.maximum(left, self.edges[np.searchsorted(self.edges, self.pos, "right") - 1] - 1)
+        self.left = np.maximum(left, self.own[self.pos] - 1)
         return first
 
     def blocks(self, round_: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,11 +133,24 @@ class Parse:
         self.levels.append((self.pos, self.sym, self.left, self.right))
 
 
-def _bucket_of(cols: np.ndarray, n: int) -> np.ndarray:
+def _hash(cols: np.ndarray) -> np.ndarray:
     h = cols[0]
     for c in cols[1:]:
         h = C.mix(h * U(3) + c)
-    return (h % U(n)).astype(np.int64)
+    return h
+
+
+def _bucket_of(cols: np.ndarray, n: int) -> np.ndarray:
+    return (_hash(cols) % U(n)).astype(np.int64)
+
+
+def _compact(cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Columns without most repeats, and where each went. Blocks of one hash that differ can leave a repeat, which is asked twice."""
+    order = np.argsort(_hash(cols))
+    new = _new(cols[:, order]) if cols.shape[1] else np.zeros(0, bool)
+    of = np.empty(cols.shape[1], np.int64)
+    of[order] = np.cumsum(new) - 1
+    return cols[:, order[new]], of
 
 
 def _distinct(cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +175,7 @@ class Words:
         self.parse = Parse(self.names, self.lengths)
         for r in range(1, rounds + 1):
             kept, need, cols = self.parse.blocks(r)
-            found, of = _distinct(cols)
+            found, of = _compact(cols)
             self.parse.rename(kept, need, names_of(got, r, _bucket_of(found, n), n)[of])
 
     def slices(self) -> C.Slices:
@@ -226,11 +241,10 @@ def _least_in(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 
 def condense(pdf: pd.DataFrame):
-    seen: dict[bytes, int] = {}
-    numbers = [[seen.setdefault(w, len(seen)) for w in t.split()] for t in pdf["_text"]]
-    lengths = np.array([len(x) for x in numbers], np.int64)
-    flat = np.array([x for part in numbers for x in part], np.uint32)
-    state = (pdf["doc_id"].to_numpy(np.int64), pdf["_null"].to_numpy(bool), list(seen), flat, lengths)
+    parts = [t.split() for t in pdf["_text"]]
+    lengths = np.array([len(x) for x in parts], np.int64)
+    coded = pa.array([w for part in parts for w in part], pa.binary()).dictionary_encode()
+    state = (pdf["doc_id"].to_numpy(np.int64), pdf["_null"].to_numpy(bool), coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.uint32), lengths)
     if "_json" in pdf:
         state += (list(pdf["_json"]), list(pdf["_none"]), list(pdf["_text"]))
     return state
@@ -249,7 +263,7 @@ def _ask_words(width, n):
 def _ask_blocks(width, n, round_):
     def run(chunk, state, got):
         w = Words(state, width, n, got, round_ - 1)
-        found, of = _distinct(w.parse.blocks(round_)[2])
+        found, of = _compact(w.parse.blocks(round_)[2])
         often = np.bincount(of, minlength=found.shape[1]) > 1
         rows = [(b, chunk, len(i), C.planes(found[:, i].ravel()), np.packbits(often[i]).tobytes()) for b, i in C.by_bucket(_bucket_of(found, n))]
         return pd.DataFrame(rows, columns=NAMES)

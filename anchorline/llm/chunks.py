@@ -14,6 +14,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -79,15 +81,17 @@ def packed(docs: DataFrame, condense: Callable, chunk_bytes: int = CHUNK_BYTES)
 
     def run(batches):
         part, n = TaskContext.get().partitionId(), 0
-        for pdf in batches:
-            size = np.array([len(t) for t in pdf["_text"]], np.int64)
+        for batch in batches:
+            size = pc.binary_length(batch.column("_text")).to_numpy().astype(np.int64)
             group = (np.cumsum(size) - size) // chunk_bytes
-            for _, rows in pdf.groupby(group, sort=True):
-                yield pd.DataFrame({"_chunk": [(part << 32) | n], "pack": [freeze(condense(rows))]})
+            edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])) if len(size) else []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):  # only one chunk's texts are Python objects at a time
+                pack = freeze(condense(batch.slice(a, b - a).to_pandas()))
+                yield pa.RecordBatch.from_arrays([pa.array([(part << 32) | n], pa.int64()), pa.array([pack], pa.binary())], names=["_chunk", "pack"])
                 n += 1
 
     flat = docs.withColumn("_null", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)).cast("long"))
-    return flat.mapInPandas(run, "_chunk long, pack binary")
+    return flat.mapInArrow(run, "_chunk long, pack binary")
 
 
 def sizes(total: int, chunk_bytes: int = CHUNK_BYTES) -> int:

@@ -11,6 +11,9 @@ at most ``SAMPLE`` labelled texts, chosen by a hash of the id; their n-grams are
 
 Null text, or text without a letter, is ``und`` with score 0. Without any training text all is ``und``.
 Repeated rows are kept. Very long texts are counted in stretches; n-grams across their ends are not seen.
+An empty table gives an empty result. Columns named lang_pred, score and coverage are replaced by ``identify``; others
+are passed on. ``most`` bounds the n-grams of a language (the most frequent ones): its filters then hold a bounded share
+of their slots, which keeps false positives few whatever the training texts are.
 """
 
 from __future__ import annotations
@@ -133,7 +136,7 @@ class Filters:
         return names, np.where(has, np.clip(score, 0, 1), 0.0), np.where(has, top, 0.0)
 
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE) -> Filters:
+def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE, most: int = GRAMS) -> Filters:
     """Filters from labelled rows; those without label or text are left out."""
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy(F.col(label_col).cast("string")).count().collect()}
@@ -156,7 +159,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     top = per.groupBy("gram").agg(F.max("f").alias("most"))
     kept = per.join(top, "gram").where(F.col("f") >= RELATIVE * F.col("most"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), F.desc("gram"))  # ranks are cut before the shuffle
-    kept = kept.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= GRAMS)
+    kept = kept.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= most)
     got = {r[0]: np.array(r[1], np.int64).view(U) for r in kept.groupBy("lang").agg(F.collect_list("gram")).collect()}
     names = sorted(got, key=lambda x: (-sizes[x], x))
     return Filters(names, got)

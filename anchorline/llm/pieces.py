@@ -11,7 +11,9 @@ is encoded once and kept in a cache of bounded size.
 
 The result equals the library's own encoding; tests compare them. Null text gives null ids and a null
 decoding; empty text no ids. Decoding gives back every text except that a space mark (U+2581) in it becomes
-a space. Repeated rows are kept.
+a space. Repeated rows are kept. U+0000 is encoded by its byte piece like any other character outside the vocabulary.
+A very long text is encoded in one worker, which holds its ids (four bytes each) until the row is written. An empty
+table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -1,14 +1,19 @@
 """Operator 8: toxicity by weak supervision.
 
-Voters are lexicon entries (words) and patterns (several distinct words with one beginning, and one voter that
-speaks for clean text when no entry is met), mined from labelled rows by their document frequencies, which Spark counts. A generative label
-model (one vote distribution per class and voter, fitted by expectation maximisation) estimates how accurate
-the voters are; their correlations given the class are estimated too and discount voters that repeat each
-other. A logistic regression on the votes and their density is then trained on the posterior labels.
-
-At most ``SAMPLE`` labelled rows are used, chosen by a hash of the id, and at most ``VOTERS`` voters kept.
-Null text counts as empty; an empty text gets the score of a text without any vote. Without labelled rows of
-both classes the score is the share of toxic labels (0 without any). Repeated rows are kept.
+Voters speak for toxic text: lexicon entries (words) and patterns (several distinct words with one beginning), mined from
+labelled rows by their document frequencies, which Spark counts. Two more speak for clean text: where no entry is met,
+and where no pattern is. A generative label model explains their votes by a hidden class: one vote distribution a class
+and voter, given the vote of the voter it depends on most (a maximum spanning tree of conditional mutual information),
+fitted by expectation maximisation. It sees no row's label: labels only say how large the toxic class is and which of
+the two it is. How accurate the voters are, and how they correlate, follows from how they agree. A logistic regression on the votes
+and their density is then trained on the posterior labels.
+
+At most ``sample`` labelled rows are used, chosen by a hash of the id; ``voters`` bounds the voters (None: all
+that stand out; the label model's work grows with the square of their number). Null text counts as empty; an empty text
+gets the score of a text without any vote. Without labelled rows of both classes the score is the share of toxic labels
+(0 without any). Repeated rows are kept; a document labelled twice counts as toxic if once so; voters of equal worth are
+ordered by name. Very long texts are read whole, one at a time; only their distinct words are held. An empty table gives
+an empty result; columns named score and predicted are replaced by ``score``, others are passed on.
 """
 
 from __future__ import annotations
@@ -23,8 +28,12 @@ from pyspark.sql import functions as F
 
 from anchorline.llm._common import fold, table
 
-#: Bounds of the labelled rows and of the voters.
-SAMPLE, VOTERS = 20_000, 200
+#: Bound of the labelled rows.
+SAMPLE = 20_000
+#: Most voters of the label model, the strongest first.
+VOTERS = 160
+#: A voter hangs on another in the label model if this part of what it can tell is told by the other, given the class.
+DEPENDS = 0.8
 #: Lengths of word beginnings, and how many distinct words of a text must share one.
 PREFIXES = (3, 4, 5, 6, 7)
 TIMES = (1, 2, 3)
@@ -85,38 +94,96 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def label_model(votes: np.ndarray, prior: float, labels: np.ndarray, trust: float = 0.98, rounds: int = 20):
-    """Posterior of class 1 from votes (+1, 0, -1) by expectation maximisation.
-
-    The labels are one more voter, of the given accuracy, so that the classes keep their meaning.
-    """
-    n, m = votes.shape
-    if not m:
-        return np.full(n, prior), np.zeros(m), np.zeros((m, m))
-    says = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)
-    given = (2 * labels - 1) * np.log(trust / (1 - trust))
-    post = labels.astype(float)
-    for _ in range(rounds):
-        rate = []
-        for p in (1 - post, post):
-            t = (says * p[:, None, None]).sum(0) + np.array([0.5, 1.0, 0.5])
-            rate.append(t / t.sum(1, keepdims=True))
-        gain = np.log(rate[1]) - np.log(rate[0])
-        # correlations given the class: residuals of the votes
-        mean = [(votes * p[:, None]).sum(0) / max(p.sum(), 1e-9) for p in (1 - post, post)]
-        rest = votes - (np.outer(1 - post, mean[0]) + np.outer(post, mean[1]))
-        sd = np.sqrt((rest**2).mean(0)) + 1e-9
-        corr = (rest / sd).T @ (rest / sd) / n
-        np.fill_diagonal(corr, 0)
-        discount = 1 / (1 + np.clip(corr - 0.05, 0, 1).sum(1))
-        logit = np.log(prior / (1 - prior)) + (np.einsum("nmv,mv->nm", says, gain) * discount).sum(1) + given
-        new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        if np.abs(new - post).max() < 1e-4:
+class LabelModel:
+    """P(class) and P(vote of j | class, vote of the parent of j); votes are -1, 0 and 1."""
+
+    def __init__(self, votes: np.ndarray, start: np.ndarray, prior: float | None = None, rounds: int = 40, again: int = 10):
+        """Expectation maximisation from the posterior ``start``; the tree is found there, and once more after ``again`` rounds."""
+        n, m = votes.shape
+        z = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float).reshape(n, 3 * m)
+        self.parents = np.full(m, -1)
+        post = start
+        for r in range(rounds):
+            self.prior = float(np.clip(post.mean() if prior is None else prior, 1e-4, 1 - 1e-4))
+            if r in (0, again):
+                pairs = [(z * w[:, None]).T @ z for w in (1 - post, post)]
+                self.parents = self._tree(pairs, n)
+            self._fit(votes, (1 - post, post))
+            new = self.posterior(votes)
+            done = np.abs(new - post).max() < 1e-5 and r > again
             post = new
-            break
-        post = new
-    accuracy = (rate[1][:, 2] * prior + rate[0][:, 0] * (1 - prior)) / np.maximum(1e-9, 1 - (rate[1][:, 1] * prior + rate[0][:, 1] * (1 - prior)))
-    return post, accuracy, corr
+            if done:
+                break
+        self.fitted = post
+        # how often a voter that speaks is right, and residual correlations given the class
+        spoke = np.maximum(1e-9, (votes != 0).sum(0))
+        self.accuracy = (((votes == 1) * post[:, None]).sum(0) + ((votes == -1) * (1 - post)[:, None]).sum(0)) / spoke
+        mean = [(votes * w[:, None]).sum(0) / max(w.sum(), 1e-9) for w in (1 - post, post)]
+        rest = votes - (np.outer(1 - post, mean[0]) + np.outer(post, mean[1]))
+        self.correlation = (rest.T @ rest) / n / (np.outer(rest.std(0), rest.std(0)) + 1e-12)
+        np.fill_diagonal(self.correlation, 0)
+
+    @staticmethod
+    def _tree(pairs: list[np.ndarray], n: int) -> np.ndarray:
+        """Parents in the maximum spanning forest of the mutual information of votes given the class; -1: none."""
+        m = len(pairs[0]) // 3
+        info = np.zeros((m, m))
+        for c in pairs:
+            total = max(c.trace() / m, 1e-9)
+            p = (c.reshape(m, 3, m, 3).transpose(0, 2, 1, 3) + 0.05) / (total + 0.45)
+            alone = np.stack([c[3 * j : 3 * j + 3, 3 * j : 3 * j + 3].diagonal() for j in range(m)])
+            alone = (alone + 0.15) / (total + 0.45)
+            info += total / n * (p * np.log(p / (alone[:, None, :, None] * alone[None, :, None, :]))).sum((2, 3))
+        np.fill_diagonal(info, 0)
+        # what each voter could tell at most
+        own = sum(max(c.trace() / m, 1e-9) / n * -(q * np.log(q)).sum(1) for c in pairs for q in [(np.stack([c[3 * j : 3 * j + 3, 3 * j : 3 * j + 3].diagonal() for j in range(m)]) + 0.15) / (max(c.trace() / m, 1e-9) + 0.45)])
+        share = info / np.maximum(np.minimum(own[:, None], own[None, :]), 1e-12)
+        parents, best, inside = np.full(m, -1), np.full(m, -1.0), np.zeros(m, bool)
+        to = np.full(m, -1)
+        for _ in range(m):
+            j = int(np.where(inside, -np.inf, best).argmax())
+            inside[j] = True
+            if to[j] >= 0 and share[j, to[j]] > DEPENDS:
+                parents[j] = to[j]
+            better = ~inside & (info[j] > best)
+            best[better], to[better] = info[j][better], j
+        return parents
+
+    def _fit(self, votes: np.ndarray, weights) -> None:
+        n, m = votes.shape
+        own = votes.astype(np.int64) + 1
+        given = np.where(self.parents >= 0, own[:, self.parents], 0)
+        cell = (np.arange(m) * 3 + given) * 3 + own
+        self.log = []
+        for w in weights:
+            c = np.bincount(cell.ravel(), weights=np.repeat(w, m), minlength=9 * m).reshape(m, 3, 3)
+            every = c.sum(1, keepdims=True) + 0.1
+            c = c + every / every.sum(2, keepdims=True)  # towards the distribution without a parent
+            self.log.append(np.log(c / c.sum(2, keepdims=True)))
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        m = votes.shape[1]
+        own = votes.astype(np.int64) + 1
+        given = np.where(self.parents >= 0, own[:, self.parents], 0)
+        gain = self.log[1] - self.log[0]
+        logit = np.log(self.prior / (1 - self.prior)) + gain[np.arange(m), given, own].sum(1)
+        return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
+def majority(votes: np.ndarray) -> np.ndarray:
+    """Where expectation maximisation starts: the share of voters that speak for class 1, among those that speak."""
+    yes, no = (votes == 1).sum(1), (votes == -1).sum(1)
+    return (yes + 0.5) / (yes + no + 1.0)
+
+
+def label_model(votes: np.ndarray, labels: np.ndarray | None = None, rounds: int = 40) -> tuple[np.ndarray, LabelModel]:
+    """Posterior of class 1 and the fitted model. Labels only tell how large class 1 is, and which of the two it is."""
+    prior = float(np.mean(labels)) if labels is not None and len(np.unique(labels)) == 2 else None
+    model = LabelModel(votes, majority(votes), prior, rounds)
+    post = model.fitted
+    if labels is not None and len(np.unique(labels)) == 2 and post[labels == 1].mean() < post[labels == 0].mean():
+        post = 1 - post
+    return post, model
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, float]:
@@ -135,7 +202,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30)
     return w[:-1], float(w[-1])
 
 
-def mine(rows: DataFrame) -> list[str]:
+def mine(rows: DataFrame, voters: int | None = None) -> list[str]:
     """Keys whose document frequency among toxic rows stands out, greatest first; one of several that always meet."""
 
     def count(batches):
@@ -154,16 +221,17 @@ def mine(rows: DataFrame) -> list[str]:
     found = rows.mapInPandas(count, "key string, clean long, toxic long").groupBy("key").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     rate = (F.col("toxic") + 0.1) / (a + 0.2) / ((F.col("clean") + 0.1) / (b + 0.2))
     ranked = found.where(f"toxic >= {LEAST}").withColumn("rate", rate).where("rate >= 8")
-    return [r[0] for r in ranked.orderBy((F.log("rate") * F.sqrt("toxic")).desc(), "key").limit(VOTERS).collect()]
+    ranked = ranked.select("key", (F.log("rate") * F.sqrt("toxic")).alias("worth")).orderBy(F.desc("worth"), "key")
+    return [r[0] for r in (ranked if voters is None else ranked.limit(voters)).collect()]  # of a bounded sample
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
+def train(labelled: DataFrame, sample: int = SAMPLE, voters: int | None = VOTERS) -> Model:
     """labelled: doc_id, text, label (0 or 1)."""
     rows = labelled.where("label in (0, 1)").select("doc_id", "text", F.col("label").cast("long").alias("label"))
     total = rows.count()
     if total > sample:
         rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * (sample / total)))
-    voters = mine(rows)
+    voters = mine(rows, voters)
     model = Model(voters, np.zeros(len(voters) + 2), 0.0)
 
     def vote(batches):  # sparse: the driver gets numbers, no texts
@@ -180,18 +248,23 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     for i, r in enumerate(got):
         hits[i, r[1]] = 1
     none = hits.sum(1) == 0
-    votes = np.hstack([hits, -none[:, None].astype(float)])
-    post, model.accuracy, model.correlation = label_model(votes, prior, y)
+    post, fitted = label_model(votes_of(hits, voters), y)
     x = np.hstack([hits, np.minimum(1.0, hits.sum(1) / 10)[:, None], none[:, None]])
-    weights, bias = logistic(x, post)
-    out = Model(voters, weights, bias)
-    out.accuracy, out.correlation = model.accuracy, model.correlation
+    out = Model(voters, *logistic(x, post))
+    out.accuracy, out.correlation = fitted.accuracy, fitted.correlation
     return out
 
 
+def votes_of(hits: np.ndarray, voters: list[str]) -> np.ndarray:
+    """Votes for toxic of the entries, and for clean where no word, and where no beginning, is met."""
+    stem = np.array(["*" in v for v in voters])
+    silent = [-(hits[:, kind].sum(1) == 0).astype(float) for kind in (~stem, stem) if kind.any()]
+    return np.hstack([hits, np.stack(silent, 1)])
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows with score and predicted; columns of these names are replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # VOTERS words and numbers
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # words and numbers that a bounded sample gave
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:

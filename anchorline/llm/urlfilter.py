@@ -8,7 +8,9 @@ a table of bounded size, so it is broadcast) and only possible hits enter the ex
 positives. Hits are folded per distinct (page, host, path) and joined back.
 
 Null urls and those without ``://`` have empty host and path and no rule. Without a rule the url is not
-listed and allowed. Null rules are ignored; repeated rows are kept; all is DataFrame code.
+listed and allowed. Null rules are ignored; repeated rows are kept; all is DataFrame code. An empty table gives an empty
+result, no rules allow all. Columns other than id and url are not read, so names like host or rule do not clash. Beyond
+some 5.6 million rules the filter, which stays at 8 MB, passes more false positives to the exact join; results stay right.
 """
 
 from __future__ import annotations

@@ -199,6 +199,24 @@ def test_languages_odd_inputs(spark):
     assert {x.lang_pred for x in langid.identify(df, none).collect()} == {"und"} and langid.identify(df.limit(0), f).count() == 0
 
 
+def test_language_of_a_tiny_corpus_by_hand(spark):
+    """Scores from n-gram shares counted one by one: an n-gram belongs to a language if its frequency there is near its greatest."""
+    train = [(1, "abab abab abab", "x"), (2, "cdcd cdcd cdcd", "y"), (3, "abab cdcd", None)]
+    f = langid.train(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+
+    def grams(t):
+        return [t[i : i + n] for n in (2, 3, 4) for i in range(len(t) - n + 1)]
+
+    held = {}
+    for _, t, lang in train[:2]:
+        n = {g: grams(t).count(g) for g in grams(t)}
+        held[lang] = {g for g, c in n.items() if c >= langid.LEAST}
+    for text, want in (("abab", "x"), ("cdcd abab cdcd", "y"), ("cd", "y")):
+        share = {k: sum(g in v for g in grams(text)) / len(grams(text)) for k, v in held.items()}
+        names, score, top = f.decide([text])
+        assert names == [want] and top[0] == pytest.approx(share[want], abs=1e-3) and score[0] == pytest.approx(share[want] / sum(share.values()), abs=1e-3)
+
+
 def test_many_languages_and_exact_filters():
     """With more languages than bits in a byte, the counts are never below the exact ones and exceed them by the expected share."""
     r = np.random.default_rng(0)
@@ -319,13 +337,65 @@ def test_toxicity_odd_inputs(spark):
     assert toxicity.score(df, one).where("predicted = 1").count() == 0 and toxicity.score(df.limit(0), m).count() == 0
 
 
-def test_label_model_finds_accuracies():
-    r = np.random.default_rng(1)
-    y = (r.random(4000) < 0.3).astype(float)
-    good, poor = np.where(r.random(4000) < 0.95, y, 1 - y), np.where(r.random(4000) < 0.6, y, 1 - y)
-    votes = np.stack([good, poor, poor], 1) * 2 - 1
-    post, accuracy, corr = toxicity.label_model(votes, 0.3, np.where(r.random(4000) < 0.9, y, 1 - y), trust=0.9)
-    assert ((post > 0.5) == y).mean() > 0.93 and accuracy[0] > 0.85 > accuracy[1] and corr[1, 2] > 0.8 > abs(corr[0, 1])
+def planted_votes(n=6000, seed=1):
+    r = np.random.default_rng(seed)
+    y = (r.random(n) < 0.3).astype(float)
+    cast = lambda right: np.where(r.random(n) < right, y, 1 - y)
+    poor = cast(0.6)
+    return y, np.stack([cast(0.95), cast(0.85), cast(0.8), poor, poor, poor], 1) * 2 - 1
+
+
+def test_label_model_finds_accuracies_without_labels():
+    """Three copies of one poor voter hang on one another and do not outvote the good ones."""
+    y, votes = planted_votes()
+    post, model = toxicity.label_model(votes, y)
+    assert ((post > 0.5) == y).mean() > 0.95 and model.accuracy[0] > 0.9 > model.accuracy[1] > model.accuracy[3]
+    assert model.correlation[3, 4] > 0.8 > model.correlation[0, 1]
+    assert sum(model.parents[3:] >= 3) == 2 and (model.parents[:3] == -1).all()
+    wrong = 1 - y  # labels orient the classes and give their size, whatever they say of single rows
+    r = np.random.default_rng(2)
+    shuffled = y.copy()
+    flip = r.random(len(y)) < 0.2
+    shuffled[flip] = r.permutation(y[flip])
+    assert ((toxicity.label_model(votes, shuffled)[0] > 0.5) == (post > 0.5)).mean() > 0.999
+    assert ((toxicity.label_model(votes, wrong)[0] > 0.5) == wrong).mean() > 0.9
+
+
+def test_label_model_is_expectation_maximisation():
+    """Without dependence, the fit is that of EM written out row by row."""
+    y, votes = planted_votes(400, 3)
+    votes = votes[:, :3]
+    model = toxicity.LabelModel(votes, toxicity.majority(votes), prior=0.3, rounds=15, again=99)
+    post = [float(p) for p in toxicity.majority(votes)]
+    for _ in range(15):
+        tables = []
+        for w in ([1 - p for p in post], post):
+            t = []
+            for j in range(3):
+                c = [sum(x for x, v in zip(w, votes[:, j]) if v == s) for s in (-1, 0, 1)]
+                every = [x + 0.1 for x in c]
+                c = [x + e / sum(every) for x, e in zip(c, every)]
+                t.append([x / sum(c) for x in c])
+            tables.append(t)
+        new = []
+        for row in votes:
+            odds = 0.3 / 0.7
+            for j, v in enumerate(row):
+                odds *= tables[1][j][int(v) + 1] / tables[0][j][int(v) + 1]
+            new.append(odds / (1 + odds))
+        post = new
+    assert np.abs(np.array(post) - model.fitted).max() < 0.02
+
+
+def test_label_model_decides(spark, monkeypatch):
+    """Another label model gives other scores: the classifier learns from posteriors, not from labels."""
+    rows = [(i, ("idiot moron clown " if i % 3 == 0 else "friend ") + ("idiot " if i % 7 == 0 else "") + "x" * (i % 5), int(i % 3 == 0)) for i in range(210)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    ask = spark.createDataFrame([(1, "idiot"), (2, "idiot moron clown"), (3, "friend")], "doc_id long, text string")
+    a = {x.doc_id: x.score for x in toxicity.score(ask, toxicity.train(df)).collect()}
+    monkeypatch.setattr(toxicity, "label_model", lambda votes, labels: (np.full(len(votes), 0.5), toxicity.LabelModel(votes, toxicity.majority(votes), rounds=1)))
+    b = {x.doc_id: x.score for x in toxicity.score(ask, toxicity.train(df)).collect()}
+    assert a[2] > 0.9 > 0.5 > a[3] and all(abs(x - 0.5) < 0.1 for x in b.values())
 
 
 # 9 ---------------------------------------------------------------------------------------------------------

@@ -8,7 +8,10 @@
 4. mixing: documents are drawn to the target weights, one row a draw;
 5. SentencePiece: the ids of each text, with a digest of their decoding.
 
-Columns of ``documents``, and any others, are passed on by all stages but the last.
+Columns of ``documents``, and any others, are passed on by all stages but the last, whatever their names. Null texts go at
+stage 1, texts left empty by stage 3 at stage 4 (they have no words to draw); a row without doc_id is kept by stage 2.
+Repeated rows: stage 2 keeps one, stage 3 takes what is left of them as copies of each other. Ties go to the smaller
+doc_id, then to the smaller hash of the text. Very long texts pass whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -181,8 +181,9 @@ def label_model(votes: np.ndarray, labels: np.ndarray | None = None, rounds: int
     prior = float(np.mean(labels)) if labels is not None and len(np.unique(labels)) == 2 else None
     model = LabelModel(votes, majority(votes), prior, rounds)
     post = model.fitted
-    if labels is not None and len(np.unique(labels)) == 2 and post[labels == 1].mean() < post[labels == 0].mean():
-        post = 1 - post
+    if prior is not None and post[labels == 1].mean() < post[labels == 0].mean():  # voters speak for the other class
+        model = LabelModel(votes, majority(votes), 1 - prior, rounds)
+        post = 1 - model.fitted
     return post, model
 
 

@@ -183,7 +183,8 @@ def by_bucket(bucket: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(bucket, entries that go there, in order)."""
     if not len(bucket):
         return []
-    order = np.argsort(bucket, kind="stable")
+    small = bucket.astype(np.uint16) if int(bucket.max()) < 1 << 16 else bucket  # 16 bits are sorted by counting
+    order = np.argsort(small, kind="stable")
     b = bucket[order]
     at = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
     return [(int(b[i]), order[i:j]) for i, j in zip(at, [*at[1:], len(b)], strict=True)]

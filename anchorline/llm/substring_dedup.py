@@ -23,6 +23,7 @@ in one worker, which needs about sixty times its bytes; other columns are passed
 from __future__ import annotations
 
 import hashlib
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -168,7 +169,7 @@ class Words:
         """Reads the names of ``rounds`` rounds (None: not even those of words)."""
         self.ids, self.null, self.words, flat, self.lengths = state[:5]
         self.width, self.n = width, n
-        self.bucket = np.array([xxhash.xxh64_intdigest(w) % n for w in self.words], np.int64)
+        self.bucket = np.fromiter(map(crc32, self.words), np.int64, len(self.words)) % n
         if rounds is None:
             return
         self.names = names_of(got, 0, self.bucket, n)[flat]

@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from anchorline.plans import stages  # noqa: F401
+from anchorline.plans import stages, tables  # noqa: F401
 from anchorline.plans.catalogue import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.01"

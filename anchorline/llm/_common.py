@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +61,14 @@ def stored(df: DataFrame) -> DataFrame:
     return Tables().stored(df)
 
 
+def give_back() -> None:
+    """Returns freed memory of this worker to the system; allocators keep it otherwise, also while the worker idles."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def fold(col: str = "doc_id", n: int = 4):
     """crc32 of the id's decimal text, modulo n."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % n

@@ -21,6 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from anchorline.llm._common import give_back
+
 U = np.uint64
 #: Positions handled at once inside a chunk.
 PIECE = 1 << 19
@@ -81,6 +83,7 @@ def packed(docs: DataFrame, condense: Callable, chunk_bytes: int = CHUNK_BYTES)
 
     def run(batches):
         part, n = TaskContext.get().partitionId(), 0
+        give_back()  # what the stage before left in this worker
         for batch in batches:
             size = pc.binary_length(batch.column("_text")).to_numpy().astype(np.int64)
             group = (np.cumsum(size) - size) // chunk_bytes
@@ -89,6 +92,8 @@ def packed(docs: DataFrame, condense: Callable, chunk_bytes: int = CHUNK_BYTES)
                 pack = freeze(condense(batch.slice(a, b - a).to_pandas()))
                 yield pa.RecordBatch.from_arrays([pa.array([(part << 32) | n], pa.int64()), pa.array([pack], pa.binary())], names=["_chunk", "pack"])
                 n += 1
+                del pack
+                give_back()  # workers wait idle while the rounds have workers of their own
 
     flat = docs.withColumn("_null", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)).cast("long"))
     return flat.mapInArrow(run, "_chunk long, pack binary")
@@ -137,8 +142,12 @@ class Rounds:
     As one tree of frames this would double with every round, and as a job a round it would deal the chunks out again
     each time. Shuffles of RDDs are kept instead: chunks and the replies of each round are dealt out once, by chunk,
     and every later round reads them where they lie; what an executor loses is made again from its lineage.
+    Spark keeps shuffles as long as a result can be read. ``release`` deletes those of results that are no longer needed.
     """
 
+    #: The JVM's RDDs below finished results, held weakly: Spark cleans up after results that are gone.
+    finished: list = []
+
     def __init__(self, state: DataFrame, total: int):
         self.spark = state.sparkSession
         self.parts = int(np.clip(-(-total // PART_BYTES), 8, MOST_PARTS))
@@ -156,10 +165,11 @@ class Rounds:
                     mail.setdefault(chunk, {})[x[0], x[1]] = x[2]
                 else:
                     yield from fn(chunk, thaw(x), mail.pop(chunk, {})).itertuples(index=False, name=None)
+                    give_back()
 
-        together = self.spark.sparkContext.union([*self.told, self.state])
-        assert together.getNumPartitions() == self.parts
-        return together.mapPartitions(run)
+        self.read = self.spark.sparkContext.union([*self.told, self.state])
+        assert self.read.getNumPartitions() == self.parts
+        return self.read.mapPartitions(run)
 
     def ask(self, fn: Callable, columns: list[str], settle: Callable) -> None:
         """fn: rows (bucket, chunk, ...) of each chunk; settle: replies of one bucket to its rows."""
@@ -176,7 +186,17 @@ class Rounds:
         self.told.append(asked.mapPartitions(settled).partitionBy(self.parts, _place))
 
     def finish(self, fn: Callable, schema: str) -> DataFrame:
-        return self.spark.createDataFrame(self.each(fn), schema, verifySchema=False)
+        out = self.spark.createDataFrame(self.each(fn), schema, verifySchema=False)
+        Rounds.finished.append(self.spark._jvm.java.lang.ref.WeakReference(self.read._jrdd.rdd()))
+        return out
+
+    @classmethod
+    def release(cls) -> None:
+        """Deletes the shuffles of all finished results; one that is read again is made again from its lineage."""
+        while cls.finished:
+            rdd = cls.finished.pop().get()
+            if rdd is not None:
+                rdd.cleanShuffleDependencies(True)
 
 
 def by_bucket(bucket: np.ndarray) -> list[tuple[int, np.ndarray]]:

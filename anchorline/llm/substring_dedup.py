@@ -242,9 +242,15 @@ def _least_in(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 
 def condense(pdf: pd.DataFrame):
-    parts = [t.split() for t in pdf["_text"]]
-    lengths = np.array([len(x) for x in parts], np.int64)
-    coded = pa.array([w for part in parts for w in part], pa.binary()).dictionary_encode()
+    lengths, some, parts = np.zeros(len(pdf), np.int64), [], []
+    for i, t in enumerate(pdf["_text"]):
+        words = t.split()
+        lengths[i] = len(words)
+        some += words
+        if len(some) >= 1 << 16 or i == len(pdf) - 1:  # few words are Python objects at a time
+            parts.append(pa.array(some, pa.binary()))
+            some = []
+    coded = (pa.concat_arrays(parts) if parts else pa.array([], pa.binary())).dictionary_encode()
     state = (pdf["doc_id"].to_numpy(np.int64), pdf["_null"].to_numpy(bool), coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.uint32), lengths)
     if "_json" in pdf:
         state += (list(pdf["_json"]), list(pdf["_none"]), list(pdf["_text"]))

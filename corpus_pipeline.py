@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from anchorline.llm import langid, mixing, pieces, simhash, substring_dedup
 from anchorline.llm._common import Tables
+from anchorline.llm.chunks import Rounds
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +53,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    Rounds.release()  # docs are written by now, and what stays of the stage before would lie beside this one's shuffles
     return mixing.mixed_documents(docs)
 
 

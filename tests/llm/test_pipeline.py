@@ -1,7 +1,9 @@
 """The pipeline against brute force, and odd inputs to its stages."""
 
 import collections
+import subprocess
 import sys
+from pathlib import Path
 
 import pytest
 
@@ -77,3 +79,39 @@ def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
     assert set(queries.ORACLE) <= set(queries.QUERIES) and pieces.MODEL and "anchorline.llm" in sys.modules
+
+
+def test_mixing_starts_without_the_shuffles_of_substring_dedup(spark, tmp_path):
+    cuts, mix = (f for _, f in corpus_pipeline.STAGES[2:4])
+    held = lambda: set(spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().keys().toSeq()))
+    docs, before = spark.read.parquet(f"{SF}/documents.parquet"), held()
+    cut = cuts(spark, docs, SF)
+    cut.write.parquet(str(tmp_path / "cut"))
+    rounds = held() - before
+    assert len(rounds) >= 10
+    mixed = mix(spark, spark.read.parquet(str(tmp_path / "cut")), SF)
+    assert not rounds & held()
+    assert mixed.count() > 0
+    assert sorted((r.doc_id, r.text) for r in cut.collect()) == sorted((r.doc_id, r.text) for r in spark.read.parquet(str(tmp_path / "cut")).collect())
+
+
+WORKER = """
+import re, sys
+import pandas as pd
+from anchorline.llm import _common, substring_dedup
+pss = lambda: int(re.search(r"Pss_Anon: +(\\d+)", open("/proc/self/smaps_rollup").read())[1]) >> 10
+texts = [" ".join(f"w{(i * 7919 + j * j) % 100003}" for j in range(400)).encode() for i in range(2000)]
+def chunk():
+    state = substring_dedup.condense(pd.DataFrame({"doc_id": range(len(texts)), "_null": False, "_text": texts}))
+    substring_dedup.Words(state, 35, 8, {}, 2)
+chunk()
+held = pss()
+_common.give_back()
+print(held, pss())
+"""
+
+
+def test_workers_give_memory_back():
+    out = subprocess.run([sys.executable, "-c", WORKER], cwd=Path(__file__).parents[2], capture_output=True, text=True, check=True).stdout
+    held, left = map(int, out.split())
+    assert left < held - 20, out

@@ -38,7 +38,10 @@ PARTS = 16
 MEASURED = 512
 #: Pairs scored exactly at once.
 PAIRS = 1 << 15
+#: Bytes of vectors, and as many of queries, that a task of all pairs holds.
+BYTES = 8 << 20
 K = 20
+SCHEMA = "query_id long, rank int, vec_id long, score double"
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -138,20 +141,75 @@ def _usable(c: Column, dim: int | None = None) -> Column:
     return c.isNotNull() & F.coalesce(fine, F.lit(False)) & ((F.size(c) == dim) if dim else (F.size(c) > 0))
 
 
-def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, probe: float | None = None, recall: float = 0.95, rerank: int | None = 400, lists: int | None = None) -> DataFrame:
+def usable_rows(vectors: DataFrame, is_query: Column, id_col: str, vector_col: str) -> tuple[DataFrame, int, int]:
+    """vec_id, v, is_query of the rows that take part; their length, and how many they are (0, 0 if none)."""
+    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    rows = rows.where(F.col("vec_id").isNotNull() & _usable(F.col("v")))
+    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
+    dim, n = sizes[0] if sizes else (0, 0)
+    return rows.where(F.size("v") == dim), dim, n
+
+
+def ranked(pairs: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+
+def exact(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K) -> DataFrame:
+    """query_id, rank, vec_id, score by all pairs, with the rules of ``search``.
+
+    Each share of the queries meets each shard of the vectors in one task, which holds both (at most ``BYTES`` of vectors
+    each) and scores ``BLOCK`` queries at a time; what leaves it are k rows a query. Time grows with the pairs, memory does not.
+    """
+    rows, dim, n = usable_rows(vectors, is_query, id_col, vector_col)
+    if not n:
+        return vectors.sparkSession.createDataFrame([], SCHEMA)
+
+    def packed(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"vec_id": pdf["vec_id"], "v": [np.asarray(r, float).tobytes() for r in pdf["v"]], "is_query": pdf["is_query"]})
+
+    rows = stored(rows.mapInPandas(packed, "vec_id long, v binary, is_query boolean").withColumn("row", F.monotonically_increasing_id()))
+    asks = stored(rows.where("is_query").groupBy("vec_id").agg(F.min("v").alias("v")).withColumnRenamed("vec_id", "query_id"))
+    most = max(BLOCK, min(CHUNK, BYTES // (8 * dim)))
+    shards, shares = max(-(-n // most), min(32, -(-n // 2048))), max(1, -(-asks.count() // most))  # small tables have many tasks too
+    part = lambda c, many: F.pmod(F.xxhash64(c), F.lit(many)).cast("int")
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
+    asked = asks.select(part("query_id", shares).alias("share"), every(shards).alias("shard"), "query_id", "v")
+    cells = rows.select(part("row", shards).alias("shard"), every(shares).alias("share"), "vec_id", "v")
+
+    def best_here(queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        if not len(queries) or not len(found):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        found = found.sort_values("vec_id", kind="stable")
+        ids, x = found["vec_id"].to_numpy(), np.frombuffer(b"".join(found["v"]), float).reshape(-1, dim)
+        own, length, out = queries["query_id"].to_numpy(), np.sqrt((x**2).sum(1).max()), []
+        for a in range(0, len(queries), BLOCK):
+            q = np.frombuffer(b"".join(queries["v"].iloc[a : a + BLOCK]), float).reshape(-1, dim)
+            near = q @ x.T
+            near[own[a : a + BLOCK, None] == ids[None, :]] = -np.inf
+            least = np.partition(near, max(0, len(ids) - k), axis=1)[:, max(0, len(ids) - k)]
+            slack = 1e-12 * dim * length * np.sqrt((q**2).sum(1))  # products of matrices are rounded otherwise than sums of one pair
+            for b in range(0, len(q), 8):  # of copies all are kept, so few queries at once
+                c = slice(b, b + 8)
+                at_q, at_x, score = best_scores(q[c], x, (near[c] >= (least - slack)[c, None]) & (near[c] > -np.inf))
+                first = first_of(at_q, np.lexsort((at_x, -score, at_q)), k)  # found is sorted: smaller ids first
+                out.append((own[a + b + at_q[first]], ids[at_x[first]], score[first]))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+
+    key = ["shard", "share"]
+    return ranked(asked.groupBy(*key).cogroup(cells.groupBy(*key)).applyInPandas(best_here, "query_id long, vec_id long, score double"), k)
+
+
+def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, probe: float | None = None, recall: float = 0.95, rerank: int = 400, lists: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score. ``probe``: the part of the lists that each query visits, instead of a measured one.
 
-    ``rerank``: different codes on the short list of a query; None: every visited vector is scored exactly.
+    ``rerank``: different codes on the short list of a query.
     """
     spark, mine = vectors.sparkSession, Tables()
-    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
-    rows = rows.where(F.col("vec_id").isNotNull() & _usable(F.col("v")))
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sizes:
-        return spark.createDataFrame([], schema)
-    dim, n = sizes[0]
-    rows = rows.where(F.size("v") == dim)
+    rows, dim, n = usable_rows(vectors, is_query, id_col, vector_col)
+    if not n:
+        return spark.createDataFrame([], SCHEMA)
     sample = rows if n <= SAMPLE else rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int((1 << 30) * (SAMPLE / n)))
     fitted = sample.select("vec_id", "v").toArrow().sort_by("vec_id").column("v").combine_chunks()
     x = np.asarray(fitted.flatten()).reshape(-1, dim)
@@ -253,27 +311,35 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
         own, least = queries["query_id"].to_numpy(), queries["least"].to_numpy()
         slack = 1e-5 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))  # scores of the first pass are rounded
         out: list[tuple] = []
+        block, held = 0, 0  # first query of the block, and how many of ``out`` other blocks have
+
+        def fold() -> None:
+            """Of a block's lists only k rows a query stay, however many lists lie here."""
+            if len(out) > held:
+                at_q, at_x, score = (np.concatenate(c) for c in zip(*out[held:], strict=True))
+                first = first_of(at_q, np.lexsort((at_x, -score, at_q)), k)
+                out[held:] = [(at_q[first], at_x[first], score[first])]
+
         for a, q, who, i, which, _, near in scored(queries, found):
+            if a != block:
+                fold()
+                block, held = a, len(out)
             keep = (near >= (least - slack)[a + who, None])[:, which] & (ids[i][None, :] != own[a + who, None])
             at_q, at_x, score = best_scores(q[who], x[i], keep)
             at_q, at_x = a + who[at_q], i[at_x]
             first = first_of(at_q, np.lexsort((at_x, -score, at_q)), k)  # found is sorted: smaller ids first
             out.append((at_q[first], at_x[first], score[first]))
+        fold()
         at_q, at_x, score = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        first = first_of(at_q, np.lexsort((at_x, -score, at_q)), k)
-        return pd.DataFrame({"query_id": own[at_q[first]], "vec_id": ids[at_x[first]], "score": score[first]})
-
-    if rerank is None:
-        ready = asked.withColumn("least", F.lit(float("-inf")))
-    else:
-        codes = cells.select("shard", "at", "codes").join(need, "shard")
-        listed = asked.groupBy(*key).cogroup(codes.groupBy(*key)).applyInPandas(shortlist, "query_id long, best binary")
-        least = listed.withColumn("_g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("_g").applyInPandas(threshold, "query_id long, least double")
-        ready = asked.join(least, "query_id")
+        return pd.DataFrame({"query_id": own[at_q], "vec_id": ids[at_x], "score": score})
+
+    codes = cells.select("shard", "at", "codes").join(need, "shard")
+    listed = asked.groupBy(*key).cogroup(codes.groupBy(*key)).applyInPandas(shortlist, "query_id long, best binary")
+    least = listed.withColumn("_g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("_g").applyInPandas(threshold, "query_id long, least double")
+    ready = asked.join(least, "query_id")
     full = cells.join(need, "shard")
     pairs = ready.groupBy(*key).cogroup(full.groupBy(*key)).applyInPandas(rescore, "query_id long, vec_id long, score double")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    return ranked(pairs, k)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,8 +347,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lists visited and every code on the short list: what SQL gives."""
-    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, probe=1.0, rerank=None).withColumn("score", F.round("score", 9))
+    """All pairs: what SQL gives."""
+    return exact(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0).withColumn("score", F.round("score", 9))
 
 
 EXACT_SQL = """

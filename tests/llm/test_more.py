@@ -259,6 +259,23 @@ def test_neighbours_exact_when_all_is_probed(spark, monkeypatch, share):
     assert neighbours.search(df.where("vec_id = 20"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("part", [64, 16_384])
+def test_all_pairs_in_shares_and_shards(spark, monkeypatch, part):
+    """Ties, copies and unusable rows where every share of the queries meets every shard; nothing of the index is fitted."""
+    monkeypatch.setattr(neighbours, "CHUNK", part)
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    monkeypatch.setattr(neighbours, "Index", None)
+    r = np.random.default_rng(5)
+    rows = [(i, r.integers(-3, 4, 8).astype(float).tolist()) for i in range(2600)]
+    rows += [(4000 + i, rows[5][1]) for i in range(100)] + [(5000, None), (5020, [0.0] * 8), (5040, [1.0] * 7), (5042, [None] + [1.0] * 7), (5043, [float("inf")] + [1.0] * 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, neighbours.exact(df, F.col("vec_id") % 20 == 0).collect()))
+    assert got == sorted(brute_near(rows))
+    assert neighbours.exact(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    assert neighbours.exact(df.where("vec_id = 20"), F.col("vec_id") % 20 == 0).count() == 0
+    assert neighbours.exact(df, F.lit(False)).count() == 0
+
+
 def test_neighbours_recall(spark):
     e = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").toPandas().sort_values("vec_id")
     x, ids = np.array(e.embedding.tolist(), float), e.vec_id.to_numpy()

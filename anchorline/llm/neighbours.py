@@ -1,13 +1,15 @@
 """Operator 4: approximate nearest neighbours by an inverted file with product-quantised residuals.
 
 Coarse centroids and residual codebooks are fitted by k-means on at most ``SAMPLE`` vectors (chosen by a hash of the
-id); every vector is indexed: its list, and its residual as one byte a subspace. How many lists a query visits is
-measured on the same sample: as many as held ``recall`` of its true neighbours there. So vectors with structure are
-found in few lists, and vectors close to random (where no index can do better) in many.
+id); every vector is indexed: its list, and its residual as one byte a subspace. At most ``MEASURED`` of the queries
+(by a hash of the id) meet every vector exactly, and what they find decides how far all queries look: as many lists are
+visited as held ``recall`` of the true neighbours, and the short list reaches down to the lowest code score of a true
+neighbour in these lists. Queries unlike the vectors, long vectors and coarse codes so cost work, not neighbours.
 
 1.  Codes alone meet the queries. Asymmetric distance tables give every visited code a score; what leaves a task are the
-    ``rerank`` best different codes of each query, and the least of the best of all tasks is the query's threshold:
-    one short list a query, over all lists.
+    k (or ``rerank``) best different codes of each query. The least of the best of all tasks, less the measured margin
+    (a multiple of the query's length; none with a stated ``rerank``), is the query's threshold: one short list a query,
+    over all lists.
 2.  Vectors whose code reaches the threshold are scored exactly, in double precision, where they lie; what leaves a task
     are k rows a query. All vectors of a code are on the short list or none is, so a group of near copies that share
     codes is never cut, however large it is; no pair leaves a task.
@@ -34,8 +36,8 @@ from anchorline.llm.chunks import U, mix
 #: Bounds: vectors for the fit, and of those for each list; vectors in a shard; queries in a share; queries scored at once.
 SAMPLE, PER_LIST, CHUNK, SHARE, BLOCK = 32_768, 16, 16_384, 16_384, 128
 PARTS = 16
-#: Queries of the sample that measure how many lists must be visited.
-MEASURED = 512
+#: Queries that measure how many lists must be visited and how long short lists must be.
+MEASURED = 256
 #: Pairs scored exactly at once.
 PAIRS = 1 << 15
 #: Bytes of vectors, and as many of queries, that a task of all pairs holds.
@@ -94,10 +96,22 @@ class Index:
             score = x[i] @ x.T
             score[np.arange(len(i)), i] = -np.inf
             top = np.argpartition(-score, min(k, len(x) - 1) - 1, axis=1)[:, : min(k, len(x) - 1)] if len(x) > 1 else np.zeros((len(i), 1), np.int64)
-            place = np.argsort(np.argsort(-(x[i] @ self.centroids.T), axis=1, kind="stable"), axis=1)
-            found.append(np.take_along_axis(place, at[top], 1).ravel())
+            found.append(np.take_along_axis(self.places(x[i]), at[top], 1).ravel())
         return int(np.quantile(np.concatenate(found), recall, method="higher")) + 1
 
+    def places(self, q: np.ndarray) -> np.ndarray:
+        """Place of each list in the order in which a query visits them (queries x lists)."""
+        return np.argsort(np.argsort(-(q @ self.centroids.T), axis=1, kind="stable"), axis=1)
+
+    def margin(self, q: np.ndarray, truth: pd.DataFrame, kth: np.ndarray) -> float:
+        """How far below a query's k-th best code score a true neighbour's lies at most, in lengths of the query."""
+        length, most = np.sqrt((q**2).sum(1)), 0.0
+        for (m, at), part in truth.groupby(["m", "at"]):
+            codes = np.frombuffer(b"".join(part["codes"]), np.uint8).reshape(len(part), -1)
+            if np.isfinite(kth[m]):
+                most = max(most, float(kth[m] - self.approximate(q[m : m + 1], at, codes).min()) / length[m])
+        return most
+
     def visited(self, q: np.ndarray, visits: int) -> np.ndarray:
         """Which lists each query visits (queries x lists)."""
         out = np.zeros((len(q), len(self.centroids)), bool)
@@ -201,10 +215,36 @@ def exact(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     return ranked(asked.groupBy(*key).cogroup(cells.groupBy(*key)).applyInPandas(best_here, "query_id long, vec_id long, score double"), k)
 
 
-def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, probe: float | None = None, recall: float = 0.95, rerank: int = 400, lists: int | None = None) -> DataFrame:
+def measure(placed: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> pd.DataFrame:
+    """The k truly nearest of a few queries among all placed vectors: position of the query, list and code of the vector."""
+    few = placed.sparkSession.sparkContext.broadcast((ids, q))  # MEASURED vectors
+    dim = q.shape[1]
+
+    def nearest_here(batches):
+        ids, q = few.value
+        best, at, codes = np.full((len(q), 0), -np.inf), np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0), object)
+        for pdf in batches:
+            for a in range(0, len(pdf), 4096):
+                part = pdf.iloc[a : a + 4096]
+                score = q @ np.frombuffer(b"".join(part["v"]), float).reshape(-1, dim).T
+                score[ids[:, None] == part["vec_id"].to_numpy()[None, :]] = -np.inf
+                top = np.argpartition(-score, min(k, score.shape[1]) - 1, axis=1)[:, :k]
+                best = np.hstack([best, np.take_along_axis(score, top, 1)])
+                at, codes = np.hstack([at, part["at"].to_numpy()[top]]), np.hstack([codes, part["codes"].to_numpy()[top]])
+                top = np.argpartition(-best, min(k, best.shape[1]) - 1, axis=1)[:, :k]
+                best, at, codes = (np.take_along_axis(t, top, 1) for t in (best, at, codes))
+        who, where = np.nonzero(best > -np.inf)
+        yield pd.DataFrame({"m": who, "score": best[who, where], "at": at[who, where], "codes": codes[who, where]})
+
+    near = placed.select("vec_id", "v", "at", "codes").mapInPandas(nearest_here, "m int, score double, at int, codes binary")
+    near = near.withColumn("_rn", F.row_number().over(Window.partitionBy("m").orderBy(F.desc("score")))).where(F.col("_rn") <= k)
+    return near.select("m", "at", "codes").toPandas()  # MEASURED x k rows
+
+
+def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, probe: float | None = None, recall: float = 0.97, rerank: int | None = None, lists: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score. ``probe``: the part of the lists that each query visits, instead of a measured one.
 
-    ``rerank``: different codes on the short list of a query.
+    ``rerank``: different codes on the short list of a query, instead of a measured margin below the k best.
     """
     spark, mine = vectors.sparkSession, Tables()
     rows, dim, n = usable_rows(vectors, is_query, id_col, vector_col)
@@ -216,7 +256,6 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     many = lists or int(np.clip(2 ** round(np.log2(2 * n**0.5)), 1, max(1, SAMPLE // PER_LIST)))
     index = Index(x, min(many, max(1, len(x) // 2) if lists is None else len(x)))
     lists = len(index.centroids)
-    visits = min(lists, max(1, int(np.ceil(probe * lists)) if probe is not None else index.visits(x, k, recall)))
     shared = spark.sparkContext.broadcast(index)  # SAMPLE / PER_LIST + 256 vectors
 
     def place(batches):
@@ -228,6 +267,13 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     placed = stored(rows.mapInPandas(place, "vec_id long, at int, codes binary, v binary, is_query boolean").withColumn("row", F.monotonically_increasing_id()))
     asks = placed.where("is_query").groupBy("vec_id").agg(F.min(F.struct("v", "at")).alias("_q")).select(F.col("vec_id").alias("query_id"), "_q.*")
     asks = mine.stored(asks)
+    some = asks.orderBy(F.xxhash64("query_id"), "query_id").limit(MEASURED).toPandas()
+    few = np.frombuffer(b"".join(some["v"]), float).reshape(-1, dim)
+    truth = measure(placed, some["query_id"].to_numpy(), few, k) if len(few) else pd.DataFrame({"m": [], "at": []}, dtype=int)
+    reach = index.places(few)[truth["m"], truth["at"]]
+    visits = int(np.ceil(probe * lists)) if probe is not None else int(np.quantile(reach, recall, method="higher")) + 1 if len(reach) else 1
+    visits = min(lists, max(1, visits))
+    short, margin = k if rerank is None else rerank, 0.0
     held = {r[0]: r[1] for r in placed.groupBy("at").count().collect()}  # one number a list
     asked = {r[0]: r[1] for r in asks.groupBy("at").count().collect()}
     groups = max(8, -(-sum(asked.values()) // 4096))
@@ -283,12 +329,12 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
         """The best different codes of each query: scores and hashes of the codes."""
         if not len(queries) or not len(found):
             return pd.DataFrame({"query_id": [], "best": []})
-        best = np.full((len(queries), rerank), -np.inf, np.float32)
-        name = np.zeros((len(queries), rerank), np.uint32)
+        best = np.full((len(queries), short), -np.inf, np.float32)
+        name = np.zeros((len(queries), short), np.uint32)
         for a, _, who, _, _, h, near in scored(queries, found):
             both = np.hstack([best[a + who], near.astype(np.float32)])
             names = np.hstack([name[a + who], np.tile(h, (len(who), 1))])
-            top = np.argpartition(-both, rerank - 1, axis=1)[:, :rerank]
+            top = np.argpartition(-both, short - 1, axis=1)[:, :short]
             best[a + who], name[a + who] = np.take_along_axis(both, top, 1), np.take_along_axis(names, top, 1)
         out = [np.stack([b.view(np.uint32), m])[:, b > -np.inf].tobytes() for b, m in zip(best, name, strict=True)]
         return pd.DataFrame({"query_id": queries["query_id"], "best": out})
@@ -300,7 +346,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
             _, first = np.unique(both[1], return_index=True)
             score = np.sort(both[0, first].view(np.float32))[::-1]
             ids.append(i)
-            least.append(float(score[rerank - 1]) if len(score) >= rerank else -np.inf)
+            least.append(float(score[short - 1]) if len(score) >= short else -np.inf)
         return pd.DataFrame({"query_id": ids, "least": least})
 
     def rescore(queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
@@ -309,6 +355,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
         found = found.sort_values(["vec_id", "row"], kind="stable").reset_index(drop=True)
         ids, x = found["vec_id"].to_numpy(), np.frombuffer(b"".join(found["v"]), float).reshape(-1, dim)
         own, least = queries["query_id"].to_numpy(), queries["least"].to_numpy()
+        least = least - margin * np.sqrt((np.frombuffer(b"".join(queries["v"]), float).reshape(-1, dim) ** 2).sum(1)) if margin else least
         slack = 1e-5 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))  # scores of the first pass are rounded
         out: list[tuple] = []
         block, held = 0, 0  # first query of the block, and how many of ``out`` other blocks have
@@ -335,7 +382,10 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
 
     codes = cells.select("shard", "at", "codes").join(need, "shard")
     listed = asked.groupBy(*key).cogroup(codes.groupBy(*key)).applyInPandas(shortlist, "query_id long, best binary")
-    least = listed.withColumn("_g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("_g").applyInPandas(threshold, "query_id long, least double")
+    least = stored(listed.withColumn("_g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("_g").applyInPandas(threshold, "query_id long, least double"))
+    if rerank is None and len(few):
+        kth = least.where(F.col("query_id").isin(some["query_id"].tolist())).toPandas().set_index("query_id")["least"]
+        margin = index.margin(few, truth[reach < visits], kth.reindex(some["query_id"]).to_numpy(float))
     ready = asked.join(least, "query_id")
     full = cells.join(need, "shard")
     pairs = ready.groupBy(*key).cogroup(full.groupBy(*key)).applyInPandas(rescore, "query_id long, vec_id long, score double")

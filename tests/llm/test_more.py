@@ -319,6 +319,20 @@ def test_short_list_decides_and_not_all_lists_are_visited(spark):
     assert recall() >= 0.93 > recall(rerank=20) and recall(probe=0.02) < 0.9
 
 
+def test_queries_unlike_the_vectors_and_codes_of_long_vectors(spark):
+    """Lists and short lists are measured on the queries themselves, whatever the vectors around them are like."""
+    r = np.random.default_rng(21)
+    apart = r.normal(size=(80, 32))[r.integers(0, 80, 6000)] + r.normal(size=(6000, 32)) * 0.2
+    apart[::20] = r.normal(size=(300, 32))
+    for x in (apart, r.normal(size=(4000, 300))):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        s = x[::20] @ x.T
+        s[np.arange(len(s)), np.arange(0, len(x), 20)] = -np.inf
+        best = np.argsort(-s, axis=1, kind="stable")[:, :20]
+        got = neighbours.search(df, F.col("vec_id") % 20 == 0).toPandas().groupby("query_id").vec_id
+        assert np.mean([len(set(best[q // 20]) & set(v)) / 20 for q, v in got]) >= 0.93 and len(got) == len(s)
+
+
 def test_neighbours_of_a_hot_group_of_near_copies(spark):
     r = np.random.default_rng(11)
     x = r.normal(size=(8000, 64)) / 8

@@ -7,7 +7,7 @@ visited as held ``recall`` of the true neighbours, and the short list reaches do
 neighbour in these lists. Queries unlike the vectors, long vectors and coarse codes so cost work, not neighbours.
 
 1.  Codes alone meet the queries. Asymmetric distance tables give every visited code a score; what leaves a task are the
-    k (or ``rerank``) best different codes of each query. The least of the best of all tasks, less the measured margin
+    k (or ``rerank``) best different codes of each query, which rows of other ids have. The least of the best of all tasks, less the measured margin
     (a multiple of the query's length; none with a stated ``rerank``), is the query's threshold: one short list a query,
     over all lists.
 2.  Vectors whose code reaches the threshold are scored exactly, in double precision, where they lie; what leaves a task
@@ -112,11 +112,12 @@ class Index:
                 most = max(most, float(kth[m] - self.approximate(q[m : m + 1], at, codes).min()) / length[m])
         return most
 
-    def visited(self, q: np.ndarray, visits: int) -> np.ndarray:
-        """Which lists each query visits (queries x lists)."""
+    def visited(self, q: np.ndarray, visits: int, held: np.ndarray, least: int) -> np.ndarray:
+        """Which lists each query visits (queries x lists): the first ones, and more until they hold ``least`` vectors."""
         out = np.zeros((len(q), len(self.centroids)), bool)
-        order = np.argsort(-(q @ self.centroids.T), axis=1, kind="stable")[:, :visits]
-        np.put_along_axis(out, order, True, 1)
+        order = np.argsort(-(q @ self.centroids.T), axis=1, kind="stable")
+        before = np.cumsum(held[order], axis=1) - held[order]
+        np.put_along_axis(out, order, (np.arange(len(self.centroids)) < visits) | (before < least), 1)
         return out
 
 
@@ -127,6 +128,15 @@ def best_scores(q: np.ndarray, x: np.ndarray, keep: np.ndarray) -> tuple[np.ndar
     return at_q, at_x, np.concatenate(score or [np.zeros(0)])
 
 
+def hide_own(near: np.ndarray, own: np.ndarray, ids: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Scores (queries x codes), with -inf for codes that only rows of the query's own id have."""
+    mine, rows = np.flatnonzero(np.isin(ids, own)), np.bincount(which, minlength=near.shape[1])
+    for i in np.unique(ids[mine]):
+        alone = np.bincount(which[mine[ids[mine] == i]], minlength=near.shape[1])
+        near[np.ix_(own == i, (alone > 0) & (alone == rows))] = -np.inf
+    return near
+
+
 def first_of(by: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
     """Of rows in ``order`` (sorted by ``by`` first), the first k of each value of ``by``."""
     g = by[order]
@@ -265,7 +275,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
             yield pd.DataFrame({"vec_id": pdf["vec_id"], "at": at, "codes": [c.tobytes() for c in codes], "v": [r.tobytes() for r in x], "is_query": pdf["is_query"]})
 
     placed = stored(rows.mapInPandas(place, "vec_id long, at int, codes binary, v binary, is_query boolean").withColumn("row", F.monotonically_increasing_id()))
-    asks = placed.where("is_query").groupBy("vec_id").agg(F.min(F.struct("v", "at")).alias("_q")).select(F.col("vec_id").alias("query_id"), "_q.*")
+    asks = placed.where("is_query").groupBy("vec_id").agg(F.min(F.struct("v", "at")).alias("_q"), F.count("*").alias("rows")).select(F.col("vec_id").alias("query_id"), "_q.*", "rows")
     asks = mine.stored(asks)
     some = asks.orderBy(F.xxhash64("query_id"), "query_id").limit(MEASURED).toPandas()
     few = np.frombuffer(b"".join(some["v"]), float).reshape(-1, dim)
@@ -275,6 +285,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     visits = min(lists, max(1, visits))
     short, margin = k if rerank is None else rerank, 0.0
     held = {r[0]: r[1] for r in placed.groupBy("at").count().collect()}  # one number a list
+    full_lists, enough = np.array([held.get(i, 0) for i in range(lists)]), k + (asks.agg(F.max("rows")).first()[0] or 0)
     asked = {r[0]: r[1] for r in asks.groupBy("at").count().collect()}
     groups = max(8, -(-sum(asked.values()) // 4096))
     shard, shard_parts, shards = deal(held, lists, CHUNK)
@@ -288,7 +299,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
         for pdf in batches:
             for a in range(0, len(pdf), BLOCK):
                 part = pdf.iloc[a : a + BLOCK]
-                seen = shared.value.visited(np.frombuffer(b"".join(part["v"]), float).reshape(-1, dim), visits)
+                seen = shared.value.visited(np.frombuffer(b"".join(part["v"]), float).reshape(-1, dim), visits, full_lists, enough)
                 to = np.zeros((len(part), shards), bool)
                 for i in range(lists):
                     for j in range(int(shard[i]), int(shard[i] + shard_parts[i])):
@@ -319,7 +330,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
             parts.append((int(of[i[0]]), i, different, which, mix(a * U(3) + mix(b + U(int(of[i[0]])))).astype(np.uint32)))
         for a in range(0, len(queries), BLOCK):
             q = np.frombuffer(b"".join(queries["v"].iloc[a : a + BLOCK]), float).reshape(-1, dim)
-            seen = shared.value.visited(q, visits)
+            seen = shared.value.visited(q, visits, full_lists, enough)
             for at, i, different, which, names in parts:
                 who = np.flatnonzero(seen[:, at])
                 if len(who):
@@ -331,8 +342,9 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
             return pd.DataFrame({"query_id": [], "best": []})
         best = np.full((len(queries), short), -np.inf, np.float32)
         name = np.zeros((len(queries), short), np.uint32)
-        for a, _, who, _, _, h, near in scored(queries, found):
-            both = np.hstack([best[a + who], near.astype(np.float32)])
+        own, ids = queries["query_id"].to_numpy(), found["vec_id"].to_numpy()
+        for a, _, who, i, which, h, near in scored(queries, found):
+            both = np.hstack([best[a + who], hide_own(near, own[a + who], ids[i], which).astype(np.float32)])
             names = np.hstack([name[a + who], np.tile(h, (len(who), 1))])
             top = np.argpartition(-both, short - 1, axis=1)[:, :short]
             best[a + who], name[a + who] = np.take_along_axis(both, top, 1), np.take_along_axis(names, top, 1)
@@ -380,7 +392,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
         at_q, at_x, score = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         return pd.DataFrame({"query_id": own[at_q], "vec_id": ids[at_x], "score": score})
 
-    codes = cells.select("shard", "at", "codes").join(need, "shard")
+    codes = cells.select("shard", "vec_id", "at", "codes").join(need, "shard")
     listed = asked.groupBy(*key).cogroup(codes.groupBy(*key)).applyInPandas(shortlist, "query_id long, best binary")
     least = stored(listed.withColumn("_g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("_g").applyInPandas(threshold, "query_id long, least double"))
     if rerank is None and len(few):

@@ -333,6 +333,17 @@ def test_queries_unlike_the_vectors_and_codes_of_long_vectors(spark):
         assert np.mean([len(set(best[q // 20]) & set(v)) / 20 for q, v in got]) >= 0.93 and len(got) == len(s)
 
 
+def test_every_query_gets_k_rows_where_lists_are_small(spark):
+    """A query's own code is no part of its short list, and lists are visited until they hold k others."""
+    r = np.random.default_rng(22)
+    x = np.repeat(r.normal(size=(300, 8)), 12, axis=0) + r.normal(size=(3600, 8)) * 0.01
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbours.search(df, F.col("vec_id") % 20 == 0, probe=0.001, lists=256).groupBy("query_id").count().toPandas()
+    assert len(got) == 180 and set(got["count"]) == {20}
+    near, ids, which = np.ones((2, 3)), np.array([5, 5, 6, 7]), np.array([0, 1, 1, 2])
+    assert neighbours.hide_own(near, np.array([5, 7]), ids, which).tolist() == [[-np.inf, 1, 1], [1, 1, -np.inf]]
+
+
 def test_neighbours_of_a_hot_group_of_near_copies(spark):
     r = np.random.default_rng(11)
     x = r.normal(size=(8000, 64)) / 8

@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from anchorline.functions.scalars import iou
 
 
 def consensus_reject(df: DataFrame, key: str, width: str, centre: str, columns: Sequence[str], least: int = 5, low: float = 0.6, high: float = 1.5, off: float = 0.75, reason: str = "inconsistent_with_consensus") -> DataFrame:
@@ -51,11 +58,119 @@ def separation(df: DataFrame, key: str, score: str, label: str) -> DataFrame:
     return out.select(key, label, F.col("_best").alias("score"), conf.alias("confidence"))
 
 
-def best_match(left: DataFrame, right: DataFrame, on: Sequence[str], left_id: str, right_id: str, score: Column, least: float) -> DataFrame:
-    """For each left row the right row of the same frame with the greatest score, if it reaches ``least``."""
-    pairs = left.join(right, list(on)).withColumn("score", score).where(F.col("score") >= least)
-    w = Window.partitionBy(left_id).orderBy(F.desc("score"), right_id)
-    return pairs.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(left_id, right_id, "score")
+#: Distinct boxes of a frame, of either side, in one task of ``best_overlap``; boxes in a node of its tree; left boxes looked up at once.
+BOXES, NODE, BATCH = 16_384, 16, 1024
+
+
+class BoxTree:
+    """Boxes by position under bounding boxes; finds each asked box the box of greatest IoU, the least id of equals.
+
+    A node's bound is the IoU of its best imaginable box, by the operations that score a box. Rounding keeps their order, so the
+    bound is never below a score to the last bit, and what is left out can neither be better nor an equal of smaller id.
+    """
+
+    def __init__(self, box: np.ndarray, ids: np.ndarray):
+        x1, y1, x2, y2 = box
+        c = (x2 - x1) * (y2 - y1)
+        alike = np.unique(np.stack([c, x1, x2]), axis=1, return_inverse=True)[1].ravel()
+        if alike.max() >= len(ids) // NODE:  # few boxes share area and columns: tiles of the plane
+            slab = np.empty(len(ids), np.int64)
+            slab[np.argsort(x1, kind="stable")] = np.arange(len(ids)) // int(NODE * np.ceil(np.sqrt(len(ids) / NODE)))
+            alike = slab
+        order = np.lexsort((y1, alike))
+        rows = np.stack([x1, y1, x2, y2, x2 - x1, y2 - y1, c, ids])[:, order]
+        self.levels = []  # from boxes to at most NODE nodes: x1, y1, x2, y2, width, height, area, id
+        while True:
+            nodes = -(-rows.shape[1] // NODE)
+            none = np.array([np.inf, np.inf, -np.inf, -np.inf, 0, 0, np.inf, np.inf])
+            rows = np.hstack([rows, np.repeat(none[:, None], nodes * NODE - rows.shape[1], 1)]).reshape(8, nodes, NODE)
+            self.levels.append(rows)
+            if nodes == 1:
+                break
+            rows = np.stack([f(r, axis=1) for f, r in zip((np.min, np.min, np.max, np.max, np.max, np.max, np.min, np.min), rows, strict=True)])
+
+    @staticmethod
+    def bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        w = np.maximum(0.0, np.minimum(np.minimum(a[2], b[2]) - np.maximum(a[0], b[0]), b[4]))
+        h = np.maximum(0.0, np.minimum(np.minimum(a[3], b[3]) - np.maximum(a[1], b[1]), b[5]))
+        both = w * h
+        total = (a[2] - a[0]) * (a[3] - a[1]) + b[6] - both
+        return np.divide(both, total, out=np.full(both.shape, np.inf), where=total > 0)
+
+    def best(self, a: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Greatest IoU of each box (4 x boxes) and the id that has it; an id of inf where none reaches ``least``."""
+        score, found = np.full(a.shape[1], least), np.full(a.shape[1], np.inf)
+
+        def look(who: np.ndarray, leaf: np.ndarray) -> None:  # one leaf a box at most
+            rows = self.levels[0][:, leaf]
+            u, ids = self.bound(a[:, who, None], rows), rows[7]
+            top = u.max(1)
+            first = np.where(u == top[:, None], ids, np.inf).min(1)
+            better = (top > score[who]) | ((top == score[who]) & (first < found[who]))
+            score[who[better]], found[who[better]] = top[better], first[better]
+
+        every = np.arange(a.shape[1])
+        node = np.zeros(a.shape[1], np.int64)
+        for rows in self.levels[:0:-1]:  # straight down to a first answer
+            u = self.bound(a[:, :, None], rows[:, node])
+            ids = np.where(u == u.max(1)[:, None], rows[7][node], np.inf)
+            node = node * NODE + np.where(np.isfinite(ids.min(1)), ids.argmin(1), 0)
+        look(every, node)
+        who, node, u = every, np.zeros(a.shape[1], np.int64), np.full(a.shape[1], np.inf)
+        for rows in self.levels[:0:-1]:  # then all that could do better
+            u, ids = self.bound(a[:, who, None], rows[:, node]), rows[7][node]
+            i, j = np.nonzero((u > score[who, None]) | ((u == score[who, None]) & (ids < found[who, None])))
+            who, node, u, ids = who[i], node[i] * NODE + j, u[i, j], ids[i, j]
+        if len(self.levels) > 1:
+            order = np.lexsort((ids, -u, who))
+            who, node, u, ids = who[order], node[order], u[order], ids[order]
+            while len(who):
+                first = np.concatenate([[True], who[1:] != who[:-1]])
+                look(who[first], node[first])
+                keep = ~first & ((u > score[who]) | ((u == score[who]) & (ids < found[who])))
+                who, node, u, ids = who[keep], node[keep], u[keep], ids[keep]
+        return score, found
+
+
+def best_overlap(left: DataFrame, right: DataFrame, on: Sequence[str], left_id: str, right_id: str, a: Sequence[str], b: Sequence[str], least: float) -> DataFrame:
+    """For each left row the right row of the same frame with the greatest IoU, if it reaches ``least`` (above 0); ties to the least id.
+
+    Equal boxes are looked up once, and a tree of a frame's right boxes leaves out what cannot be best, so pairs are not formed.
+    Boxes that are not finite, which no tree can hold, are compared in pairs.
+    """
+    if not least > 0:
+        raise ValueError("least must be above 0")
+    finite = lambda box: reduce(and_, [F.abs(F.col(c)) < float("inf") for c in box])
+    fine_l, fine_r = left.where(finite(a)), right.where(finite(b))
+    most = [df.groupBy(*on).count().agg(F.max("count")).first()[0] or 1 for df in (left, right)]
+    parts = [-(-n // BOXES) for n in most]
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
+    dealt = lambda box, many: F.pmod(F.xxhash64(*box), F.lit(many)).cast("int")
+    asks = fine_l.select(*on, *a).distinct().select(*on, *a, dealt(a, parts[0]).alias("_l"), every(parts[1]).alias("_r"))
+    cells = fine_r.groupBy(*on, *b).agg(F.min(right_id).alias("_id")).select(*on, *b, "_id", dealt(b, parts[1]).alias("_r"), every(parts[0]).alias("_l"))
+
+    def match(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        box = held[list(b)].to_numpy(float).T
+        plain = lambda x: (x[2] > x[0]) & (x[3] > x[1]) & ((x[2] - x[0]) * (x[3] - x[1]) > 0)  # noqa: E731 (others overlap nothing)
+        area, asked = plain(box), asked[plain(asked[list(a)].to_numpy(float).T)]
+        if not len(asked) or not area.any():
+            return asked[[*on, *a]].iloc[:0].assign(score=[], _id=[])
+        ids, names = np.unique(held["_id"].to_numpy()[area], return_inverse=True)
+        tree, q = BoxTree(box[:, area], names.astype(float)), asked[list(a)].to_numpy(float).T
+        score, found = (np.concatenate(c) for c in zip(*[tree.best(q[:, i : i + BATCH], least) for i in range(0, q.shape[1], BATCH)], strict=True))
+        hit = np.isfinite(found)
+        return asked.loc[hit, [*on, *a]].assign(score=score[hit], _id=ids[found[hit].astype(np.int64)])
+
+    key = [*on, "_l", "_r"]
+    schema = T.StructType([*[left.schema[c] for c in (*on, *a)], T.StructField("score", T.DoubleType()), T.StructField("_id", right.schema[right_id].dataType)])
+    best = asks.groupBy(*key).cogroup(cells.groupBy(*key)).applyInPandas(match, schema)
+    pairs = fine_l.join(best, [*on, *a]).select(left_id, F.col("_id").alias(right_id), "score")
+    score = iou([F.col(c) for c in a], [F.col(c) for c in b])
+    for x, y in ((left.where(~finite(a)), right), (fine_l, right.where(~finite(b)))):
+        pairs = pairs.unionByName(x.join(y, list(on)).withColumn("score", score).where(F.col("score") >= least).select(left_id, right_id, "score"))
+    # the first by score from above (NaN is above all), then by id, is combined before the shuffle
+    best = pairs.groupBy(left_id).agg(F.min(F.struct((~F.isnan("score")).alias("n"), (-F.col("score")).alias("s"), F.col(right_id).alias("i"))).alias("_b"))
+    return best.select(left_id, F.col("_b.i").alias(right_id), (-F.col("_b.s")).alias("score"))
 
 
 def near_hits(points: DataFrame, lit: DataFrame, on: Sequence[str], tol: int, point_id: str) -> DataFrame:

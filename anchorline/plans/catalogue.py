@@ -362,8 +362,7 @@ def iou_match(spark, d):
     c = F.col
     p = _t(spark, d, "part").select("p_partkey", (c("p_partkey") % 50).alias("f"), c("p_size").cast("double").alias("ax1"), (c("p_retailprice") / 100).alias("ay1"), (c("p_size") + 10).cast("double").alias("ax2"), (c("p_retailprice") / 100 + 5).alias("ay2"))
     s = _t(spark, d, "supplier").select("s_suppkey", (c("s_suppkey") % 50).alias("f"), (c("s_nationkey") * 2).cast("double").alias("bx1"), (c("s_acctbal") / 500).alias("by1"), (c("s_nationkey") * 2 + 12).cast("double").alias("bx2"), (c("s_acctbal") / 500 + 6).alias("by2"))
-    score = S.iou([c("ax1"), c("ay1"), c("ax2"), c("ay2")], [c("bx1"), c("by1"), c("bx2"), c("by2")])
-    return R.best_match(p, s, ["f"], "p_partkey", "s_suppkey", score, 0.1)
+    return R.best_overlap(p, s, ["f"], "p_partkey", "s_suppkey", ["ax1", "ay1", "ax2", "ay2"], ["bx1", "by1", "bx2", "by2"], 0.1)
 
 
 @named("point_in_quad", """

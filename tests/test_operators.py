@@ -2,7 +2,9 @@
 
 import json
 
+import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from anchorline import contracts, store
@@ -286,3 +288,50 @@ def test_stream_equals_batch(spark, tmp_path):
     q = live.writeStream.format("memory").queryName("aligned").option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted((r.ts, r.t_ms) for r in spark.table("aligned").collect()) == want and len(want) == 5
+
+
+@pytest.mark.parametrize("kind", ["grid", "anywhere", "odd"])
+def test_best_overlap_against_all_pairs(spark, monkeypatch, kind):
+    """Scores to the last bit, ties to the least id, over several parts of a frame; boxes that no tree holds too."""
+    monkeypatch.setattr(series, "BOXES", 300)
+    monkeypatch.setattr(series, "BATCH", 64)
+    r = np.random.default_rng(len(kind))
+
+    def boxes(n):
+        if kind == "grid":
+            at, size = r.integers(0, 12, (n, 2)) / 3, r.integers(1, 4, (n, 2)) / 7
+        else:
+            at, size = r.random((n, 2)) * 4, r.random((n, 2))
+        out = np.hstack([at, at + size]).tolist()
+        if kind == "odd":
+            out[3], out[4], out[5], out[6] = [2.0, 2.0, 1.0, 1.0], [1.0, 1.0, 1.0, 3.0], [None, 1.0, 2.0, 2.0], [0.5, 0.5, float("inf"), float("inf")]
+        return [(i, i % 3 if i % 11 else None, *b) for i, b in enumerate(out)]
+
+    a = spark.createDataFrame(boxes(700), "l long, f long, ax1 double, ay1 double, ax2 double, ay2 double")
+    b = spark.createDataFrame(boxes(1300), "r long, f long, bx1 double, by1 double, bx2 double, by2 double")
+    a, b = a.union(a.withColumn("l", F.col("l") + 5000)), b.union(b.withColumn("r", F.col("r") - 5000))
+    p, q = ["ax1", "ay1", "ax2", "ay2"], ["bx1", "by1", "bx2", "by2"]
+    score = S.iou([F.col(c) for c in p], [F.col(c) for c in q])
+    w = Window.partitionBy("l").orderBy(F.desc("score"), "r")
+    pairs = a.join(b, "f").withColumn("score", score).where("score >= 0.1")
+    want = {t.l: repr((t.score, t.r)) for t in pairs.withColumn("n", F.row_number().over(w)).where("n = 1").collect()}
+    got = {t.l: repr((t.score, t.r)) for t in series.best_overlap(a, b, ["f"], "l", "r", p, q, 0.1).collect()}
+    assert len(want) > 900 and got == want
+
+
+def test_few_boxes_are_looked_at(monkeypatch):
+    """Of forty times as many boxes of a frame about the same number is scored for each box."""
+    seen = []
+
+    def looked(n):
+        r = np.random.default_rng(1)
+        at = np.stack([r.integers(0, 25, n) * 2.0, r.random(n) * 22 - 2])
+        tree = series.BoxTree(np.concatenate([at, at + [[12.0], [6.0]]]), r.permutation(n).astype(float))
+        bound = series.BoxTree.bound
+        monkeypatch.setattr(tree, "bound", lambda x, y: (seen.append(np.broadcast(x[0], y[0]).size), bound(x, y))[1])
+        q = np.stack([r.integers(1, 51, 200).astype(float), r.random(200) + 9])
+        seen.clear()
+        tree.best(np.concatenate([q, q + [[10.0], [5.0]]]), 0.1)
+        return sum(seen) / 200
+
+    assert looked(40_000) < 8 * looked(1000) and looked(40_000) < 4000
